@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as dc
+from . import mix, shard
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dc.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select(
@@ -26,8 +31,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard.assign_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
+    return placed.select(
+        "doc_id",
+        shard.record_bytes(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit(shard.LAW).alias("law"),
+        shard.SHARD,
+        shard.SLOT,
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate,)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op8_shard)}
 
 
 def oracle_sql() -> dict[str, str]:
