@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as dc
-from . import mix, shard
+from . import langid, mix, quality, shard
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +44,19 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents")).select("doc_id", *quality.BASE, "base_failed", "kept")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"), 4, 2)
+    model = langid.train(documents.where(~held & F.col("doc_id").isNotNull()))
+    return langid.identify(documents.withColumn("held_out", held), model, ["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op8_shard)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op8_shard, op9_quality, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
