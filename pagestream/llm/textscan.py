@@ -137,11 +137,21 @@ class Words:
         sums = code[of.data]
         sums *= up[:n]
         np.cumsum(sums, out=sums)
-        h = sums[self.end - 1]
-        h -= np.where(self.start > 0, sums[self.start - 1], np.uint64(0))
-        h *= down[self.start]
+        self._sums, self._down = sums, down
+        return self._hash_to(np.arange(len(self.start)), self.end)
+
+    def _hash_to(self, words: np.ndarray, end: np.ndarray) -> np.ndarray:
+        start = self.start[words]
+        h = self._sums[end - 1]
+        h -= np.where(start > 0, self._sums[start - 1], np.uint64(0))
+        h *= self._down[start]
         return mix(h)
 
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word, hash of its first n bytes) of the words of more than n bytes."""
+        words = np.flatnonzero(self.end - self.start > n)
+        return words, self._hash_to(words, self.start[words] + n) if len(words) else np.zeros(0, dtype=np.uint64)
+
     def doc(self) -> np.ndarray:
         """The text of each word."""
         return np.repeat(np.arange(self.n), self.count)
