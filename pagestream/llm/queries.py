@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as dc
-from . import langid, mix, quality, shard, toxicity
+from . import jaccard, langid, mix, quality, shard, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents.withColumn("held_out", held), model, ["doc_id", "held_out"])
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"), 3, 90, 100).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard.assign_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
     return placed.select(
@@ -63,7 +67,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op5_toxicity, op8_shard, op9_quality, op10_language)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op5_toxicity, op6_jaccard, op8_shard, op9_quality, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
