@@ -1,14 +1,14 @@
 """Sharding by a two-pass external shuffle.
 
 Pass one scatters every record into memory-sized buckets by a seeded hash of its id
-and text (one exchange of the whole rows, uniform whatever the sources or copies).
-Pass two runs Fisher-Yates over each bucket alone, in one task of bounded memory, and
-numbers the records: a record's global place is the bucket's offset plus its place in
-the bucket, and contiguous runs of places form the shards.  Shard sizes therefore
-differ by one row at most (law ``rows``).
-
-Everything follows from the rows and the seed: buckets are sorted before they are
-shuffled, so a task that runs again after a lost executor gives the same places.
+and text: one exchange of the whole rows, uniform whatever the sources or copies.
+Pass two sorts each bucket by that hash (Spark's sort spills) and applies a Fisher-Yates
+permutation of the bucket's places.  A permutation follows from the seed, the bucket and
+its number of rows alone, so it is drawn beside the records: one array of places for each
+bucket, joined by bucket where the records already lie, and the texts never leave the
+JVM.  A record's global place is the bucket's offset plus its place in the bucket;
+contiguous runs of places form the shards, whose sizes differ by one row at most
+(law ``rows``).  A task that runs again after a lost executor gives the same places.
 
 Defined results: null ids and null texts hash like values of their own; rows that are
 equal in id and text share a bucket, and their order among each other is free; an empty
@@ -21,27 +21,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import cut, small
+from .common import cut
 
-#: Bytes of text in a bucket (its rows are in memory once, in one Python worker).
-BUCKET_BYTES = 8 << 20
+#: Bytes of text in a bucket.
+BUCKET_BYTES = 16 << 20
 SEED = 20_240_601
 SHARD, SLOT = "shard", "slot"
 LAW = "rows"
 
-_BUCKET, _HASH, _OFFSET, _ROWS = "__bucket", "__hash", "__offset", "__rows"
-
 
 def record_bytes(text: Column) -> Column:
     """UTF-8 bytes of the text (null: none) plus 1."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def _shuffled(n: int, seed: int) -> np.ndarray:
-    """Fisher-Yates: a uniform permutation of 0..n-1."""
-    return np.random.Generator(np.random.PCG64(seed)).permutation(n)
+def _permutations(batches):
+    """The places of each bucket's records: Fisher-Yates on 0..n-1, seeded by the bucket."""
+    for batch in batches:
+        bucket, n, key = (batch.column(i).to_numpy() for i in range(3))
+        for i in range(len(bucket)):
+            perm = np.random.Generator(np.random.PCG64([int(key[i]), int(bucket[i])])).permutation(int(n[i]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(3).slice(i, 1), pa.array([perm.astype(np.int32)], type=pa.list_(pa.int32()))], names=["p_bucket", "offset", "perm"])
 
 
 def assign_shards(records: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -49,29 +50,24 @@ def assign_shards(records: DataFrame, shards: int, id_col: str = "doc_id", text_
     if not 0 < shards:
         raise ValueError("shards must be positive")
     records = records.drop(*[c for c in (SHARD, SLOT) if c not in (id_col, text_col)])
-    total, rows = records.agg(F.sum(record_bytes(F.col(text_col))), F.count(F.lit(1))).first()
-    buckets = max(1, -(-(total or 0) // bucket_bytes))
-    hashed = records.withColumn(_HASH, F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))).withColumn(_BUCKET, F.pmod(_HASH, F.lit(buckets)))
-    sizes = cut(hashed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")))
-    offsets = sizes.select(_BUCKET, (F.sum("n").over(Window.orderBy(_BUCKET)) - F.col("n")).alias(_OFFSET))
-    placed = hashed.repartition(max(2, min(buckets, 100_000)), _BUCKET).join(small(offsets, buckets, 16), _BUCKET)
     columns = records.columns
-    names = [*columns, SHARD, SLOT]
-    out = T.StructType([*records.schema.fields, T.StructField(SHARD, T.IntegerType()), T.StructField(SLOT, T.LongType())])
+    key = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    total, rows = records.agg(F.sum(record_bytes(F.col(f"`{text_col}`"))), F.count(F.lit(1))).first()
+    buckets = max(1, -(-(total or 0) // bucket_bytes))
+    own = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)]
+    hashed = records.select(*own, key.alias("__key"), F.pmod(key, F.lit(buckets)).alias("__bucket"))
+    sizes = cut(hashed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")))
+    offset = F.sum("n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    drawn = sizes.select("__bucket", "n", F.lit(seed).cast("long").alias("seed"), offset.alias("offset"))
+    perms = drawn.mapInArrow(_permutations, "p_bucket long, offset long, perm array<int>")
+    place = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key", f"__c{columns.index(id_col)}"))
+    placed = hashed.withColumn("__nth", place).join(perms.hint("merge"), F.col("__bucket") == F.col("p_bucket"))
     low, extra = divmod(rows, shards)
-
-    def numbered(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(_HASH, "ascending"), (id_col, "ascending")]).combine_chunks()
-        bucket, offset = table[_BUCKET][0].as_py(), table[_OFFSET][0].as_py()
-        perm = _shuffled(len(table), seed * 1_000_003 + bucket)
-        g = offset + np.arange(len(table))
-        wide = extra * (low + 1)
-        shard = np.where(g < wide, g // (low + 1), extra + (g - wide) // max(low, 1))
-        slot = np.where(g < wide, g % (low + 1), (g - wide) % max(low, 1))
-        table = table.select(columns).take(pa.array(perm))
-        return pa.Table.from_arrays([*table.columns, pa.array(shard, pa.int32()), pa.array(slot, pa.int64())], names=names)
-
-    return placed.groupBy(_BUCKET).applyInArrow(numbered, out)
+    g, wide = F.col("offset") + F.col("perm")[F.col("__nth") - 1], extra * (low + 1)
+    placed = placed.withColumn("__g", g)
+    shard = F.expr(f"case when __g < {wide} then __g div {low + 1} else {extra} + (__g - {wide}) div {max(low, 1)} end").cast("int")
+    slot = F.expr(f"case when __g < {wide} then __g % {low + 1} else (__g - {wide}) % {max(low, 1)} end").cast("long")
+    return placed.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)], shard.alias(SHARD), slot.alias(SLOT))
 
 
 def write_shards(records: DataFrame, path: str, shards: int, **options) -> None:
