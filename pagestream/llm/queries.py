@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as dc
-from . import jaccard, langid, mix, quality, shard, toxicity
+from . import jaccard, langid, mix, quality, shard, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = urlfilter.fit(urlfilter.training_table(spark))
+    return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), weights, ["page_id"])
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held = langid.held_out(F.col("doc_id"), 3, 1)
@@ -67,7 +72,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op5_toxicity, op6_jaccard, op8_shard, op9_quality, op10_language)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_url_filter, op5_toxicity, op6_jaccard, op8_shard, op9_quality, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
