@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as dc
-from . import jaccard, langid, mix, quality, shard, toxicity, urlfilter
+from . import jaccard, langid, linededup, mix, quality, shard, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"), 3, 90, 100).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard.assign_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
     return placed.select(
@@ -72,8 +76,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_url_filter, op5_toxicity, op6_jaccard, op8_shard, op9_quality, op10_language)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_url_filter, op5_toxicity, op6_jaccard, op7_line_dedup, op8_shard, op9_quality, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": linededup.LINES_SQL}
