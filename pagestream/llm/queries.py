@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as dc
-from . import jaccard, langid, linededup, mix, quality, shard, toxicity, urlfilter
+from . import htmltext, jaccard, langid, linededup, mix, quality, shard, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), weights, ["page_id"])
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract_pages(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held = langid.held_out(F.col("doc_id"), 3, 1)
@@ -76,7 +81,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_url_filter, op5_toxicity, op6_jaccard, op7_line_dedup, op8_shard, op9_quality, op10_language)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_url_filter, op4_html_text, op5_toxicity, op6_jaccard, op7_line_dedup, op8_shard, op9_quality, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
