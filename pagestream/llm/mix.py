@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, word_count
+from .common import cut, small, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -56,8 +56,8 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     return filled.select("source", "n_docs", "source_size", target.alias("target"))
 
 
-def mix_sources(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and ``taken``: the words of each document that the mix takes."""
+def _placed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: str = SEED) -> DataFrame:
+    """doc_id, source, size, key, source_size, target, whole epochs and the words taken of the last one."""
     size = word_count(F.col(f"`{text_col}`"))
     sized = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"))
     sized = cut(sized.withColumn("key", random_key(F.col("doc_id"), F.col("size"), seed)))
@@ -73,4 +73,28 @@ def mix_sources(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     whole = F.expr("case when source_size > 0 then budget div source_size else 0 end")
     rest = F.col("budget") - whole * F.col("source_size")
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - (F.col("before") + F.col("upto") - F.col("size"))))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).alias("taken"))
+    return placed.select("doc_id", "source", "size", "key", "source_size", "target", whole.alias("whole"), part.alias("part"))
+
+
+def mix_sources(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: str = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target and ``taken``: the words of each document that the mix takes."""
+    placed = _placed(documents, weights, share, max_repeats, id_col, source_col, text_col, seed)
+    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
+
+
+def repeat_taken(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeats: float = MAX_REPEATS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: str = SEED) -> DataFrame:
+    """The mix itself: each row as often as the mix takes it, with its own columns.
+
+    The document at a source's cut stays whole, as texts are not split.  The cut is a key
+    for each source, so the rows meet a small table only and their texts do not move.
+    """
+    placed = _placed(documents, weights, share, max_repeats, id_col, source_col, text_col, seed)
+    cuts = cut(placed.groupBy(F.col("source").alias("__source")).agg(F.max("whole").alias("__whole"), F.max(F.when(F.col("part") > 0, F.col("key"))).alias("__cutoff")))
+    columns = documents.columns
+    own = documents.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
+    name = lambda c: F.col(f"__c{columns.index(c)}")
+    joined = own.join(small(cuts, cuts.count(), 64), name(source_col).eqNullSafe(F.col("__source")))
+    key = random_key(name(id_col), word_count(name(text_col)), seed)
+    times = (F.col("__whole") + F.coalesce(key <= F.col("__cutoff"), F.lit(False)).cast("long")).cast("int")
+    taken = joined.withColumn("__times", times).where("__times > 0")
+    return taken.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)], F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__turn")).drop("__turn")
