@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +39,25 @@ def dropped(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a checkpoint in the shared folder."""
+def kept(df: DataFrame) -> DataFrame:
+    """``df``, kept on the executors' disks once computed, for tables that are read again.
+
+    Its lineage stays: what a lost executor held is computed again.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
+#: Rows of a partition of a narrow table that is cut.
+CUT_ROWS = 250_000
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with its lineage cut by a checkpoint in the shared folder.
+
+    ``rows``: a known bound on its rows; partitions, and so files, then follow it.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return (df if rows is None else df.coalesce(-(-rows // CUT_ROWS) or 1)).checkpoint()
 
 
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small, written
+from .common import kept, small, written
 
 LEAD = 3
 AGREE = 60
@@ -38,24 +38,25 @@ FIELD = "<*>"
 def _masked(line: Column) -> Column:
     """The line with single spaces between tokens and variable fields masked."""
     spaced = F.trim(F.regexp_replace(line, r"[\x09-\x0D\x20]+", " "))
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(spaced)
+    fields = F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
+    return F.when(line.rlike(r"[0-9\x09-\x0D]|  "), fields).otherwise(F.trim(line))
 
 
 def parsed_lines(texts: DataFrame, text_col: str) -> DataFrame:
-    """key (of the text), pos, leaf, line (hashes) and masked of every line of enough tokens."""
+    """key (of the text), pos, size (tokens), leaf, line (hashes) and masked of every line."""
     keyed = texts.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     lines = keyed.select("key", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("key", "pos", _masked(F.col("raw")).alias("masked"))
-    size = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
-    lines = lines.withColumn("size", size).where(F.col("size") >= MIN_TOKENS)
-    return lines.select("key", "pos", F.xxhash64("size", F.substring_index("masked", " ", LEAD)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
+    size = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
+    lines = lines.withColumn("size", size)
+    return lines.select("key", "pos", "size", F.xxhash64("size", F.substring_index("masked", " ", LEAD)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
 
 def _generalised(lines: DataFrame, distinct: DataFrame, agree: int, min_texts: int) -> DataFrame:
     """line, leaf of the lines that take their leaf's template."""
     leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("texts").alias("texts")).where((F.col("n") > 1) & (F.col("texts") >= min_texts)).select(F.col("leaf").alias("l_leaf"))
-    leaves = cut(leaves)
+    leaves = kept(leaves)
     shared = lines.select("leaf", "line", "masked").join(small(leaves, leaves.count(), 8), F.col("leaf") == F.col("l_leaf"), "left_semi")
-    shared = cut(shared.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("masked").alias("masked")))
+    shared = kept(shared.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("masked").alias("masked")))
     tokens = shared.select("leaf", F.posexplode(F.split("masked", " ")).alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
     best = F.row_number().over(Window.partitionBy("leaf", "at").orderBy(F.desc("n"), "token"))
     dominant = tokens.withColumn("nth", best).where("nth = 1").groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("dominant"))
@@ -66,16 +67,17 @@ def _generalised(lines: DataFrame, distinct: DataFrame, agree: int, min_texts: i
 def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS) -> DataFrame:
     """key, positions: the lines (from 0, sorted) of each text that are to be dropped."""
     lines, _ = written(parsed_lines(texts, text_col), "lines")
+    lines = lines.where(F.col("size") >= MIN_TOKENS)
     once = lines.groupBy("leaf", "line", "key").agg(F.count(F.lit(1)).alias("n"))
-    distinct = cut(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts")))
-    general = cut(_generalised(lines, distinct, agree, min_texts))
+    distinct = kept(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts")))
+    general = kept(_generalised(lines, distinct, agree, min_texts))
     n = general.count()
     # a leaf's template is told from a line by its sign bit, kept apart by the second column
     template = lambda df: df.join(small(general, n, 16), F.col("line") == F.col("g_line"), "left").withColumns({"general": F.col("g_line").isNotNull(), "template": F.coalesce("g_leaf", "line")})
     alone = distinct.join(small(general, n, 16), F.col("line") == F.col("g_line"), "left_anti").where(F.col("texts") >= min_texts).select(F.col("line").alias("r_template"), F.lit(False).alias("r_general"))
     grouped = lines.select("line", "key").join(small(general, n, 16), F.col("line") == F.col("g_line")).select("g_leaf", "key").distinct().groupBy("g_leaf").count()
     grouped = grouped.where(F.col("count") >= min_texts).select(F.col("g_leaf").alias("r_template"), F.lit(True).alias("r_general"))
-    recurring = cut(alone.unionAll(grouped))
+    recurring = kept(alone.unionAll(grouped))
     named = template(lines.select("key", "pos", "line"))
     gone = named.join(small(recurring, recurring.count(), 16), (F.col("template") == F.col("r_template")) & (F.col("general") == F.col("r_general")), "left_semi")
     return gone.groupBy("key").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
@@ -86,13 +88,13 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE
     columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped") or c == text_col]
     own = documents.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     text = f"__c{columns.index(text_col)}"
-    gone = cut(recurring_lines(own.select(text), text, agree, min_texts).withColumnsRenamed({"key": "__key", "positions": "__gone"}))
+    gone = kept(recurring_lines(own.select(text), text, agree, min_texts).withColumnsRenamed({"key": "__key", "positions": "__gone"}))
     joined = own.join(small(gone, gone.count(), 64), F.xxhash64(text) == F.col("__key"), "left")
     lines = F.split(F.col(text), "\n")
     left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n"))
-    kept = [left.alias(c) if c == text_col else F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)]
+    shown = [left.alias(c) if c == text_col else F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)]
     count = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
-    return joined.select(*kept, count.alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(*shown, count.alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 #: DuckDB SQL of dedup_lines over documents with the defaults; hashes give way to the strings themselves.
