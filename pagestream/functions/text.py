@@ -257,7 +257,7 @@ def join_hyphens(c: Column) -> Column:
 def repair_mojibake(c: Column) -> Column:
     """UTF-8 read as Latin-1 is read again where that leaves fewer suspicious characters."""
     odd = r"[ÃÂâ€]"
-    again = F.when(c.rlike(r"^[\x00-\xFF]*$"), F.try_validate_utf8(F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")))
+    again = F.when(c.rlike(r"^[\x00-\xFF]*$"), F.try_validate_utf8(F.encode(c, "ISO-8859-1").cast("string")))
     better = F.regexp_count(again, F.lit(odd)) + F.regexp_count(again, F.lit("�")) < F.regexp_count(c, F.lit(odd))
     return F.when(F.coalesce(better, F.lit(False)), again).otherwise(c)
 

@@ -8,11 +8,10 @@ from typing import Any
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import dates, text
 
-_RSS = T.StructType.fromDDL("title STRING, link STRING, guid STRUCT<_VALUE: STRING, _isPermaLink: BOOLEAN>, pubDate STRING, author STRING, description STRING, `content:encoded` STRING, _corrupt_record STRING")
+_RSS = "title STRING, link STRING, guid STRUCT<_VALUE: STRING, _isPermaLink: BOOLEAN>, pubDate STRING, author STRING, description STRING, `content:encoded` STRING, _corrupt_record STRING"
 
 
 def read_feed(spark: SparkSession, path: str | Sequence[str], item_tag: str = "item") -> DataFrame:
