@@ -5,7 +5,7 @@ from __future__ import annotations
 import codecs
 import html
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -220,3 +220,22 @@ def html_tokens(markup: Column) -> Column:
         return pa.array([None if x is None else tokens(x) for x in batch.to_pylist()], type=to_arrow_type(TOKENS))
 
     return run(markup)
+
+
+def first_inside(elements: Column, path: Column, wanted) -> Column:
+    """First element below ``path`` that the condition accepts (elements as of html_tokens)."""
+    return F.get(F.filter(elements, lambda t: F.startswith(t["path"], F.concat(path, F.lit("/"))) & wanted(t)), F.lit(0))
+
+
+def nearest_ancestor(elements: Column, path: Column, attr: str) -> Column:
+    """Value of an attribute at the nearest ancestor that has it."""
+    above = F.filter(elements, lambda t: F.startswith(path, F.concat(t["path"], F.lit("/"))) & F.map_contains_key(t["attrs"], F.lit(attr)))
+    return F.try_element_at(F.try_element_at(above, F.lit(-1))["attrs"], F.lit(attr))
+
+
+def following_siblings(elements: Column, path: Column, n: int, tags: Sequence[str]) -> Column:
+    """The first n following siblings of some tags."""
+    parent = lambda p: F.regexp_replace(p, r"/[0-9]+$", "")
+    place = lambda p: F.regexp_extract(p, r"([0-9]+)$", 1).cast("int")
+    after = F.filter(elements, lambda t: (parent(t["path"]) == parent(path)) & (place(t["path"]) > place(path)) & t["tag"].isin(list(tags)))
+    return F.slice(after, 1, n)

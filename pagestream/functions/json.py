@@ -101,3 +101,10 @@ def elements_html(elements: Column) -> Column:
         return F.when(e["kind"].isin("h2", "h3"), F.when(e["kind"] == "h2", wrap("h2")).otherwise(wrap("h3"))).when(e["kind"] == "p", wrap("p")).when(e["kind"] == "ul", ul).when(e["kind"] == "figure", figure)
 
     return F.array_join(F.filter(F.transform(elements, one), lambda x: x.isNotNull()), "\n")
+
+
+def json_attribute(html: Column, attr: str) -> Column:
+    """JSON text of an attribute, character references decoded. Arrow UDF."""
+    from .html import html_unescape
+
+    return none_if_empty(html_unescape(F.regexp_extract(html, rf'\s{attr}="([^"]*)"', 1)))

@@ -122,3 +122,13 @@ def is_real_table(rows: Column) -> Column:
 def is_valid_binary(content: Column, magic: bytes, least: int) -> Column:
     """Long enough and with the right first bytes."""
     return (F.length(content) > least) & (F.substring(content, 1, len(magic)) == F.lit(magic))
+
+
+def is_empty_shell(text: Column, title: Column, least: int = 50) -> Column:
+    """A page of which little is left besides its title."""
+    return F.length(F.trim(F.replace(text, title, F.lit("")))) < least
+
+
+def excluded_slug(slug: Column, exclude: Sequence[str]) -> Column:
+    """Slugs of a site's own sections."""
+    return slug.isin(list(exclude))

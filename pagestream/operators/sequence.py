@@ -102,9 +102,9 @@ def assemble(df: DataFrame, text: Column, breaks: Column, by: Sequence[str], ord
     return rows.groupBy(*by, "island").agg(F.array_join(F.transform(lines, lambda x: x["t"]), sep).alias("text"), F.min(order[0]).alias("first_pos"))
 
 
-def merge_continuations(df: DataFrame, text: Column, opens: Column, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Items: an opening row and the rows up to the next opening row."""
-    return assemble(df, text, opens, by, order, keep_breaks=True)
+def merge_continuations(df: DataFrame, text: Column, opens: Column, by: Sequence[str], order: Sequence[str], sep: str = " ") -> DataFrame:
+    """Items: an opening row and the rows up to the next opening row (bullets; author lines with their titles)."""
+    return assemble(df, text, opens, by, order, sep, keep_breaks=True)
 
 
 def merge_overlapping(df: DataFrame, lo: str, hi: str, slack: Column, by: Sequence[str], order: Sequence[str], name: str = "island") -> DataFrame:

@@ -157,3 +157,17 @@ def render_whitelisted(posts: DataFrame, base: str) -> DataFrame:
     """Bodies of REST posts reduced to the whitelist, with a description of their text."""
     clean = html.whitelist_html(F.col("content_html"), F.lit(base))
     return posts.withColumn("content_html", clean).withColumn("description", text.truncate_words(text.strip_tags(F.col("content_html"))))
+
+
+def listing_cards(pages: DataFrame, card: str) -> DataFrame:
+    """Cards of HTML listings: url, pos and the link, title, description, date and image inside each element of a class."""
+    parsed = pages.select("url", html.html_tokens(F.col("html")).alias("els"))
+    is_card = lambda t: F.array_contains(F.split(F.coalesce(F.try_element_at(t["attrs"], F.lit("class")), F.lit("")), " +"), card)
+    rows = parsed.select("url", "els", F.posexplode(F.filter("els", is_card)).alias("pos", "c"))
+    inside = lambda *tags: html.first_inside(F.col("els"), F.col("c.path"), lambda t: t["tag"].isin(*tags))
+    attr = lambda e, a: F.try_element_at(e["attrs"], F.lit(a))
+    date = inside("time")
+    return rows.select(
+        "url", "pos", attr(inside("a"), "href").alias("link"), inside("h2", "h3", "h4")["text"].alias("title"), inside("p")["text"].alias("description"),
+        F.coalesce(attr(date, "datetime"), date["text"]).alias("pub_date_raw"), attr(inside("img"), "src").alias("image"),
+    )

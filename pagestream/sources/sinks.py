@@ -78,3 +78,8 @@ def rehosted(pages: DataFrame, assets: DataFrame, html: str = "html") -> DataFra
     maps = pairs.groupBy("feed", "slug").agg(F.array_sort(F.collect_list(F.struct(F.col("url").alias("k"), F.col("local").alias("v")))).alias("__map"))
     joined = used.join(maps, ["feed", "slug"], "left").drop("__urls")
     return joined.withColumn(html, F.when(F.col("__map").isNull(), F.col(html)).otherwise(text.apply_map(F.col(html), F.col("__map")))).drop("__map")
+
+
+def mirror(files: DataFrame, path: str) -> None:
+    """Files unchanged, as rows of path and content."""
+    files.select("path", "content").write.mode("overwrite").parquet(path)

@@ -152,3 +152,19 @@ def test_stream_dedup(spark, tmp_path):
     seen = []
     incremental.run_to_end(incremental.dedup_stream(stream, "ts", ["k"], "10 minutes"), lambda df, _: seen.extend(r["k"] for r in df.collect()), str(tmp_path / "cp"))
     assert sorted(seen) == ["a", "b"]
+
+
+def test_listing_cards_and_elements(spark):
+    from pagestream.functions import html as h
+    from pagestream.functions import json as js
+
+    page = '<div class="card big" data-k="1"><a href="/a"><h3>A</h3></a><p>about</p><time datetime="2026-04-20">x</time><img src="i.png"></div><div class="card"><p>b</p><p>c</p><ul></ul></div>'
+    pages = spark.createDataFrame([("u", page)], "url string, html string")
+    got = extraction.listing_cards(pages, "card").orderBy("pos").collect()
+    assert [tuple(r)[2:] for r in got] == [("/a", "A", "about", "2026-04-20", "i.png"), (None, None, "b", None, None)]
+    els = pages.select(h.html_tokens(F.col("html")).alias("e"))
+    row = els.select(h.nearest_ancestor(F.col("e"), F.lit("/0/1/2"), "data-k").alias("k"), h.following_siblings(F.col("e"), F.lit("/6/7"), 1, ["p", "ul"]).alias("s")).first()
+    assert row["k"] == "1"
+    assert [x["text"] for x in row["s"]] == ["c"]
+    doc = spark.range(1).select(js.json_attribute(F.lit('<a data-x="{&quot;a&quot;: 1}">'), "data-x").alias("x")).first()["x"]
+    assert doc == '{"a": 1}'
