@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
-from .textscan import ALNUM, TEXT, Slice, Words, annotate, byte_class, mix, slices
+from .common import kept
+from .textscan import ALNUM, HASH_BITS, TEXT, Slice, Words, annotate, byte_class, mix, slices
 
 #: Bound on the expected number of labelled rows that training reads.
 TRAIN_ROWS = 16_384
@@ -70,19 +70,20 @@ def _kinds(w: Words):
 
 
 class Lexicon:
-    """Keys of words and stems with their weights."""
+    """Keys of words and stems (their highest HASH_BITS bits) with their weights."""
 
     def __init__(self, keys: np.ndarray, weights: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.weights = keys[order], weights[order]
         self.maybe = np.zeros(1 << 16, dtype=bool)
-        self.maybe[(keys >> np.uint64(48)).astype(np.int64)] = True
+        self.maybe[(keys >> np.uint64(HASH_BITS - 16)).astype(np.int64)] = True
 
     def weigh(self, w: Words) -> np.ndarray:
         """The highest weight of each word's keys, 0 without."""
         out = np.zeros(len(w.hash))
         for words, keys in _kinds(w):
-            some = np.flatnonzero(self.maybe[(keys >> np.uint64(48)).astype(np.int64)])
+            keys = keys >> np.uint64(64 - HASH_BITS)
+            some = np.flatnonzero(self.maybe[(keys >> np.uint64(HASH_BITS - 16)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.keys, keys[some]), max(len(self.keys) - 1, 0))
             hit = self.keys[at] == keys[some] if len(self.keys) else np.zeros(len(some), dtype=bool)
             np.maximum.at(out, words[some[hit]], self.weights[at[hit]])
@@ -209,33 +210,33 @@ def _doc_frequencies(batches):
         for i, j, part in slices(batch.column(0)):
             w = part.words(ALNUM, fold=True)
             doc = w.doc()
-            for words, key in _kinds(w):
-                pair = np.unique(np.column_stack([doc[words].astype(np.uint64), key]), axis=0)
-                keys.append(pair[:, 1])
-                marks.append(toxic[i:j][pair[:, 0].astype(np.int64)])
+            pair = np.concatenate([(doc[words].astype(np.uint64) << np.uint64(HASH_BITS)) | (key >> np.uint64(64 - HASH_BITS)) for words, key in _kinds(w)])
+            pair = np.unique(pair)
+            keys.append(pair & np.uint64((1 << HASH_BITS) - 1))
+            marks.append(toxic[i:j][(pair >> np.uint64(HASH_BITS)).astype(np.int64)])
         key, at = np.unique(np.concatenate(keys), return_inverse=True)
         mark = np.concatenate(marks)
         a, b = np.bincount(at, weights=mark, minlength=len(key)), np.bincount(at, weights=1 - mark, minlength=len(key))
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["key", "a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["key", "a", "b"])
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on about ``rows`` rows of ``labels`` (all of them where there are fewer)."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-    known = cut(known)
+    known = kept(known)
     total = known.count()
     if not total:
         return None
     draw = F.pmod(F.xxhash64(F.lit("toxic"), "id"), F.lit(1_000_003)) / 1_000_003.0
     picked = known.where(draw < min(1.0, rows / total)).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(10)))
     texts = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    sample = cut(texts.join(F.broadcast(picked), F.col("doc") == F.col("id")).select(F.coalesce("text", F.lit("")).alias(TEXT), F.col("label").cast("double").alias("label"), "part"))
+    sample = kept(texts.join(F.broadcast(picked), F.col("doc") == F.col("id")).select(F.coalesce("text", F.lit("")).alias(TEXT), F.col("label").cast("double").alias("label"), "part"))
     seen = sample.where("part < 5").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).first()
     a, b = seen["a"] or 0.0, seen["b"] or 0.0
     counts = sample.where("part < 5").select(TEXT, "label").mapInArrow(_doc_frequencies, "key long, a long, b long").groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (a + 1)) - F.log((F.col("b") + 0.5) / (b + 1))
     top = counts.where(F.col("a") >= 3).withColumn("odds", odds).where("odds > 2").orderBy(F.desc(F.col("odds") * F.log1p("a")), "key").limit(LEXICON).toArrow()
-    lexicon = Lexicon(top["key"].to_numpy().view(np.uint64), top["odds"].to_numpy())
+    lexicon = Lexicon(top["key"].to_numpy().astype(np.uint64), top["odds"].to_numpy())
 
     def rows_of(batches):
         for batch in batches:
