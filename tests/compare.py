@@ -1,8 +1,10 @@
 """Order-insensitive comparison of a Spark result with a DuckDB result."""
 
+import pandas as pd
+
 
 def _text(v):
-    if v is None or v != v:
+    if v is None or v is pd.NA or v is pd.NaT or isinstance(v, float) and v != v:
         return None
     if isinstance(v, bool):
         return str(v)
