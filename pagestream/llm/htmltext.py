@@ -54,7 +54,7 @@ HINTS = {
     "frame": "header masthead footer foot copyright colophon topbar bottom legal imprint head logo",
     "side": "sidebar side aside rail widget related recommended recommendations popular trending more teaser teasers links tags",
     "comment": "comment comments reply replies respond discussion disqus thread reader feedback commentlist",
-    "notice": "cookie cookies consent gdpr notice notices banner alert popup modal overlay newsletter subscribe signup login paywall warning message",
+    "notice": "cookie cookies consent gdpr notice notices banner alert popup modal overlay newsletter subscribe signup login paywall warning message dialog",
     "form": "form search searchbox contact input field",
     "share": "share sharing social follow twitter facebook buttons toolbar meta byline",
     "content": "content article post entry story body text main page-content articlebody prose copy",
