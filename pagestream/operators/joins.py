@@ -94,6 +94,21 @@ def next_bound(rows: DataFrame, bounds: DataFrame, by: Sequence[str], at: str, n
     return both.withColumn(name, F.min(F.when(F.col("__bound"), F.col(at))).over(w)).where("NOT __bound").drop("__bound")
 
 
+def has_near(df: DataFrame, others: DataFrame, by: Sequence[str], at: str, within: int) -> DataFrame:
+    """Rows with one of ``others`` of the same group less than ``within`` away (range semi join).
+
+    Places are cut into cells of that width, and the others stand in three cells each, so
+    the join is an equi-join on group and cell and no group is compared with itself whole.
+    """
+    cell = lambda c: F.floor(F.col(c) / F.lit(within))
+    keys = [F.col(k).alias(f"__{k}") for k in by]
+    spread = others.select(*keys, F.col(at).alias("__at"), F.explode(F.array(cell(at) - 1, cell(at), cell(at) + 1)).alias("__cell"))
+    cond = (cell(at) == F.col("__cell")) & (F.abs(F.col(at) - F.col("__at")) < within)
+    for k in by:
+        cond = (F.col(k) == F.col(f"__{k}")) & cond
+    return df.join(spread, cond, "left_semi")
+
+
 def has_neighbour(df: DataFrame, by: Sequence[str], near: Column, left: str = "a", right: str = "b") -> DataFrame:
     """Rows with another row of the same group that a condition over aliases a and b accepts (theta semi join)."""
     a, b = df.alias(left), df.alias(right)

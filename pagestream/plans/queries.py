@@ -324,12 +324,11 @@ def set_change_detect(spark, sf_dir):
     return marked.agg(F.count_if(F.col("sides") == 1).alias("added"), F.count_if(F.col("sides") == 2).alias("removed"))
 
 
-@query("""with s as (select source, count(*) as items, md5(string_agg(concat(doc_id::varchar, chr(9), coalesce(lang, ''), chr(9), md5(text)), chr(10) order by doc_id)) as signature from documents group by source) select * from s""")
+@query("""with d as (select source, md5(concat(doc_id::varchar, chr(9), coalesce(lang, ''), chr(9), coalesce(text, ''))) as m from documents),
+s as (select source, count(*) as items, sum(('0x' || substr(m, 1, 13))::bigint) as a, sum(('0x' || substr(m, 14, 13))::bigint) as b from d group by source)
+select source, items, md5(concat(items::varchar, '|', a::varchar, '|', b::varchar)) as signature from s""")
 def feed_signatures(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.concat_ws("\t", F.col("doc_id").cast("string"), F.coalesce("lang", F.lit("")), F.md5("text")).alias("row"))
-    joined = aggregates.ordered_join(docs, ["source"], "doc_id", "row")
-    counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("items"))
-    return joined.join(counts, "source").select("source", "items", F.md5("joined").alias("signature"))
+    return aggregates.feed_signature(table(spark, sf_dir, "documents"), "source", "doc_id", ["lang", "text"])
 
 
 @query("""with v as (select doc_id, 2 * (doc_id % 2) as version from documents where doc_id % 4 <> 3) select d.doc_id, case when v.doc_id is null then 'new' when v.version < 2 then 'stale' when d.doc_id % 5 = 0 then 'changed' else 'kept' end as action,
@@ -399,8 +398,7 @@ def range_next_bound(spark, sf_dir):
 @query("""with e as (select event_id, user_id, event_type, epoch_us(ts) as a from events) select distinct x.event_id from e x join e y on x.user_id = y.user_id and x.event_type = 'click' and y.event_type = 'view' and abs(x.a - y.a) < 600000000""")
 def side_by_side(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.unix_micros(utc("ts")).alias("t"))
-    near = F.expr("a.event_type = 'click' AND b.event_type = 'view' AND abs(a.t - b.t) < 600000000")
-    return joins.has_neighbour(events, ["user_id"], near).select("event_id")
+    return joins.has_near(events.where("event_type = 'click'"), events.where("event_type = 'view'"), ["user_id"], "t", 600_000_000).select("event_id")
 
 
 RECTS = """with r as (select l_orderkey as doc, l_linenumber as n, l_quantity as x0, (l_partkey % 40)::double as y0, l_quantity + 10 + 100 * l_tax as x1, (l_partkey % 40 + 8)::double as y1, l_returnflag = 'R' as fig from lineitem)"""
