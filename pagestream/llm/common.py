@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,6 +48,19 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+#: Bytes of an Arrow batch between the JVM and Python: both sides hold a few of them for each task.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on Arrow batches to BATCH_BYTES, where it is higher or unset."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(name).lower())
+    now = int(found[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[found[2]] if found else 0
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 #: Rows of a partition of a narrow table that is cut.
 CUT_ROWS = 250_000
 

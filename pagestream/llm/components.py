@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, kept
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -20,7 +20,10 @@ def _state(edges: DataFrame) -> tuple:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(v, root) for every vertex of ``edges`` (long columns a and b); root is the smallest vertex of its component."""
-    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    start = kept(edges)
+    n = start.count()
+    edges = cut(start.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n)
+    start.unpersist()
     before = None
     while (now := _state(edges)) != before:
         before = now
@@ -30,5 +33,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = cut(small.select("e.a", "e.b").where("a <> b").distinct())
+        edges = cut(small.select("e.a", "e.b").where("a <> b").distinct(), 2 * now[0])
     return edges.select(F.col("a").alias("v"), F.col("b").alias("root")).unionAll(edges.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())

@@ -4,11 +4,14 @@
    hashes), a 64-bit identity of the set (equal sets are one *class*, so copies never meet
    again) and the set's tile signatures.
    Sets are banded by size so that linked sets lie in the same or in adjacent bands; a set
-   signs for its own band's key and the next.  Sets that link at threshold t differ in at
-   most d shingles, d known for each key; the shingle universe is dealt into d + 1 + e
-   pieces, so linked sets agree in e + 1 pieces at least.  Each agreed piece is a shared
-   signature; the up to e pieces with least in them are left out, as they would be shared
-   by chance.  No link is lost, and a signature stands for several shingles at once.
+   signs for its own band's key and the next.
+   Sets that link at threshold t differ in at most d shingles, d known for each key; the
+   shingle universe is dealt into d + 1 + e pieces, so linked sets agree in e + 1 pieces at
+   least.  Each agreed piece is a shared signature.  The e pieces that tell least are left
+   out, as they would be shared by chance: pieces are ranked by how many shingles they hold
+   that are not frequent (a bounded list from a sample), then by a hash.  Agreed pieces rank
+   alike in both sets, so one of them at least is left in both: no link is lost, whatever
+   the list.
 2. Signatures are packed into tiles.  What a task holds of one signature is combined
    before the exchange into one representative and edges to it, so a signature that a third
    of all texts share costs a row for each task.  Each tile adds edges between the
@@ -16,8 +19,9 @@
 3. In each candidate component, texts are compared by a search that skips what is
    already linked: size ratio, then hashed bitmaps (bits of one set missing in the other
    bound the overlap from above), then exact intersection of the sorted arrays.
-   Components of more than ``COMPONENT_SHINGLES`` are cut into size-ordered blocks of
-   bounded size, and pairs of blocks of compatible sizes are compared in tasks of their own.
+   In components of more than ``COMPONENT_SHINGLES`` the candidate edges are verified one
+   by one; what lies outside the largest group so settled is compared with all of the
+   component, in blocks of bounded size and compatible sizes, pair by pair in tasks.
 
 Defined results: texts without words have no shingles and are linked with nothing; equal
 sets always link; null ids take part in links but cannot be the smallest id of a group
@@ -26,25 +30,27 @@ sets always link; null ids take part in links but cannot be the smallest id of a
 
 from __future__ import annotations
 
-import uuid
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, dropped, shared_folder, small, written
+from .common import kept, small, small_batches
 from .components import connected_components
 from .textscan import HASH_BITS, SPACED, TEXT, Slice, mix, slices
 
 #: Shingles of a component that one task may hold (8 bytes each).
 COMPONENT_SHINGLES = 6_000_000
 #: Signatures that a task gathers before it combines and packs them.
-FLUSH = 3_000_000
+FLUSH = 800_000
 #: Signatures of a tile, about.
 TILE = 1_000_000
 BITMAP_BITS = 2048
+#: Bound on the expected number of texts that the list of frequent shingles is drawn from, and how many of them make a shingle frequent.
+SAMPLE_TEXTS = 8192
+FREQUENT = 3
 
 
 @lru_cache(maxsize=8)
@@ -56,7 +62,7 @@ def _bands(num: int, den: int, top: int = 1 << 31) -> tuple[np.ndarray, np.ndarr
     upper = np.array(low[1:], dtype=np.int64) - 1
     both = upper + np.concatenate([[0], upper[:-1]])
     d = both * (den - num) // (den + num)
-    spare = np.where(d > 0, np.maximum(2, -(-d // 5)), 0)
+    spare = np.where(d > 0, np.maximum(2, -(-d // 2)), 0)
     return np.array(low, dtype=np.int64), np.where(d > 0, d + 1 + spare, 0), spare
 
 
@@ -68,12 +74,29 @@ def _classes(doc: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return size, mix(total + size.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
-def _signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, text) of the pieces of each text's set, for both keys of its band."""
+class Frequent:
+    """A sorted list of frequent shingles."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.maybe = np.zeros(1 << 16, dtype=bool)
+        self.maybe[(self.hashes >> np.uint64(HASH_BITS - 16)).astype(np.int64)] = True
+
+    def among(self, h: np.ndarray) -> np.ndarray:
+        out = self.maybe[(h >> np.uint64(HASH_BITS - 16)).astype(np.int64)]
+        some = np.flatnonzero(out)
+        if len(some):
+            out[some] = self.hashes[np.minimum(np.searchsorted(self.hashes, h[some]), len(self.hashes) - 1)] == h[some]
+        return out
+
+
+def _signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, num: int, den: int, frequent: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, text, key) of the pieces of each text's set, for both keys of its band."""
     low, pieces, spare = _bands(num, den)
     band = np.searchsorted(low, size, side="right") - 1
     code = mix(h + np.uint64(0x2545F4914F6CDD1D))
     part = h >> np.uint64(HASH_BITS - 32)
+    rare = ~frequent.among(h)
     out = []
     for key in (band, band + 1):
         m = np.where(size > 0, pieces[key], 0)
@@ -85,35 +108,66 @@ def _signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, num: int, den:
             continue
         sums = np.zeros(total, dtype=np.uint64)
         np.add.at(sums, at, code[some])
-        held = np.bincount(at, minlength=total)
+        tells = np.minimum(np.bincount(at, weights=rare[some], minlength=total), 15).astype(np.uint64)
         owner = np.repeat(np.arange(len(m)), m)
-        least = np.full(len(m), -1)  # pieces of so many shingles or fewer are left out
-        for c in range(4):
-            fits = np.bincount(owner[held <= c], minlength=len(m)) <= spare[key]
-            least = np.where(fits & (least == c - 1), c, least)
-        kept = held > least[owner]
-        salt = mix(key[owner].astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + (np.arange(total) - base[owner]).astype(np.uint64))
-        out.append((mix(sums + salt)[kept], owner[kept]))
+        content = mix(sums.copy())
+        rank = (owner.astype(np.uint64) << np.uint64(52)) | (tells << np.uint64(48)) | (content >> np.uint64(16))
+        order = np.argsort(rank)
+        left = order[np.arange(total) - base[owner[order]] >= spare[key][owner[order]]]
+        salt = mix(key[owner[left]].astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + (left - base[owner[left]]).astype(np.uint64))
+        out.append((mix(sums[left] + salt), owner[left], key[owner[left]]))
     if not out:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    return np.concatenate([s for s, _ in out]), np.concatenate([o for _, o in out])
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
 
+def _sampled(docs: DataFrame, k: int, num: int, den: int, texts: int, tiles: int) -> tuple[Frequent, np.ndarray]:
+    """From a sample of about SAMPLE_TEXTS: the shingles of FREQUENT or more different texts, and the first tile of each key.
 
-def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """One (signature, smallest class) of each signature, and edges (class, smallest) of the others."""
+    A key gets tiles by its part of all shingles, one at least, so the signatures of a pair
+    of sets meet in few tiles.
+    """
+    low = _bands(num, den)[0]
+    rate = min(1.0, SAMPLE_TEXTS / max(texts, 1))
+    sample = docs.where(F.pmod("text_key", F.lit(1_000_003)) < rate * 1_000_003).dropDuplicates(["text_key"]).select(TEXT)
+
+    def count(batches):
+        for batch in batches:
+            found, held = [], np.zeros(len(low) + 1)
+            for _, _, part in slices(batch.column(0)):
+                doc, h = part.words(SPACED, fold=True).shingles(k)
+                found.append(h)
+                size = np.bincount(doc, minlength=part.n)
+                band = np.searchsorted(low, size, side="right") - 1
+                held += np.bincount(np.concatenate([band, band + 1])[np.concatenate([size, size]) > 0], weights=np.concatenate([size, size])[np.concatenate([size, size]) > 0], minlength=len(held))
+            h, n = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
+            used = np.flatnonzero(held)
+            kind = np.repeat([0, 1], [len(h), len(used)])
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int64()), pa.array(np.concatenate([h.astype(np.int64), used])), pa.array(np.concatenate([n, held[used].astype(np.int64)]))], names=["kind", "x", "n"])
+
+    counts = sample.mapInArrow(count, "kind long, x long, n long").groupBy("kind", "x").agg(F.sum("n").alias("n")).where((F.col("kind") == 1) | (F.col("n") >= FREQUENT)).toArrow()
+    kind, x, n = (counts[c].to_numpy() for c in ("kind", "x", "n"))
+    volume = np.zeros(len(low) + 1)
+    volume[x[kind == 1]] = n[kind == 1]
+    each = np.maximum(1, np.ceil(tiles * volume / max(volume.sum(), 1))).astype(np.int64)
+    return Frequent(x[kind == 0].astype(np.uint64)), np.concatenate([[0], np.cumsum(each)])
+
+
+def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the smallest class of each signature, and edges (class, smallest) of the others."""
     order = np.lexsort((cls, sig))
     sig, cls = sig[order], cls[order]
     first = np.concatenate([[True], sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, dtype=bool)
     head = cls[first][np.cumsum(first) - 1] if len(sig) else cls
     edge = cls != head
     pairs = np.unique(np.column_stack([cls[edge], head[edge]]), axis=0) if edge.any() else np.zeros((0, 2), dtype=cls.dtype)
-    return sig[first], cls[first], pairs[:, 0], pairs[:, 1]
+    return order[first], pairs[:, 0], pairs[:, 1]
 
 
 _SCANNED = "kind int, id_key long, n long, cls long, text_key long, tile long, body binary"
 
 
-def _scan(k: int, num: int, den: int, tiles: int):
+def _scan(k: int, num: int, den: int, frequent: Frequent, first_tile: np.ndarray):
     """Rows of kind 0 (documents), 1 (packed signatures of a tile) and 2 (packed edges)."""
 
     def rows(kind: int, count: int, **columns) -> pa.RecordBatch:
@@ -121,13 +175,15 @@ def _scan(k: int, num: int, den: int, tiles: int):
         made = [pa.array(np.full(count, kind, dtype=np.int32))] + [columns.get(x) if isinstance(columns.get(x), pa.Array) else pa.array(columns[x]) if x in columns else pa.nulls(count, pa.int64()) for x in names]
         return pa.RecordBatch.from_arrays([*made, columns.get("body", pa.nulls(count, pa.binary()))], names=["kind", *names, "body"])
 
-    def packed(sigs: list, owners: list):
-        sig, cls, a, b = _stars(np.concatenate(sigs), np.concatenate(owners))
+    def packed(sigs: list, owners: list, keys: list):
+        sig, cls, key = np.concatenate(sigs), np.concatenate(owners), np.concatenate(keys)
+        at, a, b = _stars(sig, cls)
+        sig, cls, key = sig[at], cls[at], key[at].astype(np.int64)
         if len(a):
             yield rows(2, 1, body=pa.array([np.concatenate([a, b]).tobytes()], type=pa.binary()))
-        tile = (sig % np.uint64(tiles)).astype(np.int64)
+        tile = first_tile[key] + (sig % (first_tile[key + 1] - first_tile[key]).astype(np.uint64)).astype(np.int64)
         order = np.argsort(tile, kind="stable")
-        tile, sig, cls = tile[order], (sig[order] // np.uint64(tiles)).astype(np.uint32), cls[order]
+        tile, sig, cls = tile[order], (sig[order] >> np.uint64(32)).astype(np.uint32), cls[order]
         bounds = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]])) if len(tile) else []
         for i in range(0, len(bounds) - 1, 64):
             some = bounds[i : i + 65]
@@ -135,21 +191,22 @@ def _scan(k: int, num: int, den: int, tiles: int):
             yield rows(1, len(body), tile=tile[some[:-1]], body=pa.array(body, type=pa.binary()))
 
     def run(batches):
-        sigs, owners, held = [], [], 0
+        sigs, owners, keys, held = [], [], [], 0
         for batch in batches:
             for i, j, part in slices(batch.column(2)):
                 doc, h = part.words(SPACED, fold=True).shingles(k)
                 size, cls = _classes(doc, h, part.n)
                 yield rows(0, j - i, id_key=batch.column(0).slice(i, j - i), n=size.astype(np.int64), cls=cls.view(np.int64), text_key=batch.column(1).slice(i, j - i))
-                sig, owner = _signatures(doc, h, size, num, den)
+                sig, owner, key = _signatures(doc, h, size, num, den, frequent)
                 sigs.append(sig)
                 owners.append(cls[owner])
+                keys.append(key.astype(np.int16))
                 held += len(sig)
                 if held >= FLUSH:
-                    yield from packed(sigs, owners)
-                    sigs, owners, held = [], [], 0
+                    yield from packed(sigs, owners, keys)
+                    sigs, owners, keys, held = [], [], [], 0
         if held:
-            yield from packed(sigs, owners)
+            yield from packed(sigs, owners, keys)
 
     return run
 
@@ -161,7 +218,7 @@ def _tile_edges(table: pa.Table) -> pa.Table:
         n = len(body) // 12
         sigs.append(np.frombuffer(body, dtype=np.uint32, count=n))
         cls.append(np.frombuffer(body, dtype=np.uint64, offset=4 * n))
-    _, _, a, b = _stars(np.concatenate(sigs), np.concatenate(cls))
+    _, a, b = _stars(np.concatenate(sigs), np.concatenate(cls))
     return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
 
@@ -252,23 +309,22 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     k-word shingles.  ``text_key`` is xxhash64 of the text; (``first_id``, ``first_key``)
     name the group's first row by id and text key.  Ids are whole numbers.
     """
-    spark = documents.sparkSession
+    small_batches(documents.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     docs = documents.select(F.col(f"`{id_col}`").cast("long").alias("id_key"), F.xxhash64(text).alias("text_key"), text.alias(TEXT))
-    size = documents.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    tiles = max(8, int(size * 0.6 * (den - num) / den // TILE))
-    path = f"{shared_folder(spark)}/jaccard-{uuid.uuid4().hex}"
-    docs.mapInArrow(_scan(k, num, den, tiles), _SCANNED).write.partitionBy("kind").parquet(path)
-    scanned = spark.read.schema(_SCANNED).parquet(path)
+    size, rows = documents.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string"))), F.count(F.lit(1))).first()
+    tiles = max(8, int((size or 0) * 0.5 * (den - num) / den // TILE))
+    scanned = kept(docs.mapInArrow(_scan(k, num, den, *_sampled(docs, k, num, den, rows, tiles)), _SCANNED))
     members = scanned.where("kind = 0").select("id_key", "n", "cls", "text_key")
 
     packed = scanned.where("kind = 1").select("tile", "body")
     near = packed.groupBy("tile").applyInArrow(_tile_edges, "a long, b long").unionAll(scanned.where("kind = 2").select("body").mapInArrow(_edge_rows, "a long, b long"))
-    candidates = cut(connected_components(near))
+    near = kept(near.distinct())
+    candidates = kept(connected_components(near))
 
     few = candidates.count()
     reps = members.join(small(candidates, few, 16), F.col("cls") == F.col("v")).groupBy("cls", "root", "n").agg(F.min(F.struct("id_key", "text_key")).alias("rep"))
-    reps = cut(reps.select("cls", "root", "n", F.col("rep.id_key").alias("r_id"), F.col("rep.text_key").alias("r_key")))
+    reps = kept(reps.select("cls", "root", "n", F.col("rep.id_key").alias("r_id"), F.col("rep.text_key").alias("r_key")))
     sums = reps.groupBy("root").agg(F.sum("n").alias("held"))
     texts = docs.join(small(reps, few, 40), (F.col("text_key") == F.col("r_key")) & F.col("id_key").eqNullSafe(F.col("r_id"))).select("root", "cls", "n", TEXT)
     verify = _verified(k, num, den)
@@ -276,41 +332,67 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     links = texts.join(small(fitting, few, 8), "root").groupBy("root").applyInArrow(verify, "a long, b long")
     large = sums.where(F.col("held") > component_shingles).select("root", "held")
     if not large.isEmpty():
-        links = links.unionAll(_large_links(texts, reps, large, num, den, verify, component_shingles))
+        links = links.unionAll(_large_links(texts, reps, near, large, k, num, den, component_shingles))
         links = connected_components(links).select(F.col("v").alias("a"), F.col("root").alias("b"))
-    groups = cut(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")))
+    groups = kept(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")))
 
     firsts = members.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("id_key").isNull().alias("none"), "id_key", "text_key")).alias("first"))
     placed = firsts.join(small(groups, few, 16), F.col("cls") == F.col("g_cls"), "left").select("cls", F.coalesce("g_root", "cls").alias("group"), "first")
     # of classes alone in their group the first is known; only linked classes meet again
     linked = placed.join(small(groups.select(F.col("g_root").alias("group")).distinct(), few, 8), "group", "left_semi").groupBy("group").agg(F.min("first").alias("least"))
-    placed = cut(placed.join(small(linked, few, 40), "group", "left").select(F.col("cls").alias("p_cls"), F.coalesce("least", "first").alias("first")))
+    placed = kept(placed.join(small(linked, few, 40), "group", "left").select(F.col("cls").alias("p_cls"), F.coalesce("least", "first").alias("first")))
     found = members.join(placed, (F.col("cls") == F.col("p_cls")) & (F.col("n") > 0), "left")
     alone = F.col("p_cls").isNull()
-    found = found.select(
+    return found.select(
         F.col("id_key").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("id_key")).otherwise(F.col("first.id_key")).alias("component_id"),
         "text_key",
         F.when(alone, F.col("text_key")).otherwise(F.col("first.text_key")).alias("first_key"),
     )
-    found, _ = written(found, "jaccard-groups")
-    dropped(spark, path)
-    return found
 
 
-def _large_links(texts: DataFrame, reps: DataFrame, large: DataFrame, num: int, den: int, verify, component_shingles: int) -> DataFrame:
-    """Links of components too large for one task: pairs of size-ordered blocks."""
-    half = max(1, component_shingles // 2)
-    order = Window.partitionBy("root").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = cut(reps.join(large, "root").withColumn("block", F.floor((F.sum("n").over(order) - F.col("n")) / F.lit(half))).select("root", F.col("cls").alias("b_cls"), "block", F.col("n").alias("b_n")))
-    spans = blocks.groupBy("root", "block").agg(F.min("b_n").alias("lo"), F.max("b_n").alias("hi"))
-    other = spans.select("root", F.col("block").alias("with"), F.col("lo").alias("w_lo"))
-    pairs = spans.join(other, "root").where((F.col("block") <= F.col("with")) & (F.col("hi") * den >= F.col("w_lo") * num)).select("root", "block", "with")
-    pairs = pairs.unionAll(pairs.where(F.col("block") < F.col("with")).select("root", F.col("with").alias("block"), F.col("block").alias("with")))
-    sided = blocks.join(pairs, ["root", "block"]).select("root", "b_cls", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), F.col("block").alias("side"))
-    placed = texts.select("cls", TEXT).join(sided, F.col("cls") == F.col("b_cls")).select("root", "one", "two", "side", "cls", TEXT)
-    return placed.groupBy("root", "one", "two").applyInArrow(verify, "a long, b long")
+def _pair_links(k: int, num: int, den: int):
+    """Those of the pairs of texts that link."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for i in range(0, len(batch), 512):
+                some = batch.slice(i, 512)
+                both = _Sets(pa.concat_arrays([some.column(2), some.column(3)]), k)
+                found += [i + j for j in range(len(some)) if len(both.linked(j, np.array([len(some) + j]), num, den))]
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(found, pa.int64())) for c in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def _large_links(texts: DataFrame, reps: DataFrame, near: DataFrame, large: DataFrame, k: int, num: int, den: int, component_shingles: int) -> DataFrame:
+    """Links of components too large for one task.
+
+    Candidate edges are verified one by one, which settles a family of near copies in
+    linear time.  What is then outside its component's largest settled group is compared
+    with everything in the component, in pairs of blocks of compatible sizes.
+    """
+    inside = reps.join(large.select("root"), "root").select("root", "cls", "n")
+    own = texts.select("cls", TEXT)
+    sides = near.join(inside.select(F.col("cls").alias("a")), "a").join(own.select(F.col("cls").alias("a"), F.col(TEXT).alias("a_text")), "a").join(own.select(F.col("cls").alias("b"), F.col(TEXT).alias("b_text")), "b")
+    sure = kept(sides.select("a", "b", "a_text", "b_text").mapInArrow(_pair_links(k, num, den), "a long, b long"))
+    settled = connected_components(sure).select(F.col("v").alias("cls"), F.col("root").alias("g"))
+    settled = kept(inside.join(settled, "cls", "left").withColumn("g", F.coalesce("g", "cls")))
+    main = settled.groupBy("root", "g").count().groupBy("root").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
+    marked = settled.join(main, "root").withColumns({"rest": F.col("g") != F.col("main"), "band": F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)))})
+    cells = marked.groupBy("root", "rest", "band").agg(F.ceil(F.sum("n") / F.lit(max(1, component_shingles // 2))).alias("parts"))
+    part = F.pmod(F.xxhash64("cls"), F.col("parts"))
+    blocks = kept(marked.join(cells, ["root", "rest", "band"]).select("root", "cls", "n", "rest", F.struct("rest", "band", part.alias("part")).alias("block")))
+    spans = blocks.groupBy("root", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    a, b = spans.where("block.rest").selectExpr("root", "block as one", "lo as a_lo", "hi as a_hi"), spans.selectExpr("root", "block as two", "lo as b_lo", "hi as b_hi")
+    fits = (F.col("a_hi") * den >= F.col("b_lo") * num) & (F.col("b_hi") * den >= F.col("a_lo") * num)
+    pairs = kept(a.join(b, "root").where(fits & (~F.col("two.rest") | (F.col("one") <= F.col("two")))).select("root", "one", "two"))
+    ends = pairs.select("root", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    sided = blocks.join(ends, ["root", "block"]).select("root", "one", "two", "cls", (F.col("block") == F.col("one")).alias("side"))
+    compared = own.join(sided, "cls").groupBy("root", "one", "two").applyInArrow(_verified(k, num, den), "a long, b long")
+    return sure.unionAll(compared)
 
 
 def keep_first(documents: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -320,12 +402,12 @@ def keep_first(documents: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     """
     found = jaccard_groups(documents, k, num, den, id_col, text_col)
     linked = found.where("n_shingles > 0")
-    gone = cut(linked.where(~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("first_key")))).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct())
-    again = cut(linked.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).count().where("count > 1").select("__id", "__key"))
+    gone = kept(linked.where(~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("first_key")))).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct())
+    again = kept(linked.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).count().where("count > 1").select("__id", "__key"))
     key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
-    kept = documents.join(small(gone, gone.count(), 16), same, "left_anti")
+    left = documents.join(small(gone, gone.count(), 16), same, "left_anti")
     if (n := again.count()) == 0:
-        return kept
+        return left
     again = small(again, n, 16)
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 SLICE_BYTES = 1 << 20
 SLICE_DOCS = 1 << 12
 #: Bits of a shingle's hash that are kept; the others number the texts of a slice.
@@ -211,6 +213,7 @@ def annotate(df: DataFrame, text_col: str, keep: Sequence[str], fields: Sequence
     ``factory()`` is called once in each task and gives a function from a slice to one
     array for each field.  A kept column with the name of a field gives way to it.
     """
+    small_batches(df.sparkSession)
     names = {n for n, _ in fields}
     keep = [c for c in keep if c not in names]
     picked = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias(TEXT))
