@@ -14,12 +14,13 @@ rows are judged alike; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import kept
 
 BUCKETS = 4096
 HOST_GRAMS, PATH_GRAMS = (3, 4), (3,)
@@ -103,7 +104,7 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", rou
     probability 0.5 and is allowed.
     """
     base = _prepared(labelled.where(F.col(label_col).isNotNull()), url_col)
-    known = cut(base.select(F.col(label_col).cast("double").alias("y"), gram_buckets(F.col("__host"), F.col("__path")).alias("g"))).coalesce(1)
+    known = kept(base.select(F.col(label_col).cast("double").alias("y"), gram_buckets(F.col("__host"), F.col("__path")).alias("g"))).coalesce(1)
     n = known.count()
     w = [0.0] * BUCKETS
     ahead = list(w)
@@ -118,7 +119,7 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", rou
 
 
 def _probability(grams: Column, w: Sequence[float]) -> Column:
-    table = F.array(*[F.lit(float(x)) for x in w])
+    table = F.from_json(F.lit(json.dumps([float(x) for x in w])), "array<double>")  # folded into one constant
     total = F.aggregate(grams, F.lit(0.0), lambda acc, g: acc + F.get(table, g))
     score = total / F.greatest(F.sqrt(F.size(grams).cast("double")), F.lit(1.0))
     return 1 / (1 + F.exp(-score))
