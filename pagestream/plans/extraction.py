@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, json, predicates, text, urls
-from ..operators import aggregates, dedup, joins, sequence, topk
+from ..operators import aggregates, dedup, joins, layout, sequence, topk
 
 
 def description_and_date(body: Column) -> Column:
@@ -171,3 +171,20 @@ def listing_cards(pages: DataFrame, card: str) -> DataFrame:
         "url", "pos", attr(inside("a"), "href").alias("link"), inside("h2", "h3", "h4")["text"].alias("title"), inside("p")["text"].alias("description"),
         F.coalesce(attr(date, "datetime"), date["text"]).alias("pub_date_raw"), attr(inside("img"), "src").alias("image"),
     )
+
+
+def layout_article(boxes: DataFrame, drawings: DataFrame, width: float, height: float) -> DataFrame:
+    """Elements of laid-out documents in reading order: doc, page, nth, kind (h2, h3, p) and text.
+
+    ``boxes`` are text blocks (doc, page, rectangle, text, size, bold), ``drawings`` rectangles.
+    Text inside figures and lines repeated in the margins go; kinds follow from the size
+    against the document's median.
+    """
+    margin = (F.col("y1") <= 0.1 * height) | (F.col("y0") >= 0.9 * height)
+    repeated = aggregates.boilerplate_lines(boxes.where(margin), "doc", "page", "text")
+    clean = aggregates.without_boilerplate(boxes, repeated, "doc", "text")
+    body = layout.body_text(clean, layout.figure_regions(drawings, height)).where(~predicates.is_junk_line(F.col("text")))
+    usual = boxes.groupBy("doc").agg(F.coalesce(F.median("size"), F.lit(10.0)).alias("usual"))
+    kind = F.when(F.col("size") >= 1.3 * F.col("usual"), "h2").when(F.col("bold") & (F.col("size") >= 1.1 * F.col("usual")), "h3").otherwise("p")
+    ordered = layout.reading_order(body, width).join(usual, "doc")
+    return ordered.select("doc", "page", "nth", kind.alias("kind"), text.join_hyphens(F.col("text")).alias("text"))

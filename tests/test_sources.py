@@ -168,3 +168,14 @@ def test_listing_cards_and_elements(spark):
     assert [x["text"] for x in row["s"]] == ["c"]
     doc = spark.range(1).select(js.json_attribute(F.lit('<a data-x="{&quot;a&quot;: 1}">'), "data-x").alias("x")).first()["x"]
     assert doc == '{"a": 1}'
+
+
+def test_layout_article(spark):
+    rows = []
+    for page in range(4):
+        rows += [("d", page, 0.0, 2.0, 100.0, 6.0, "Running head of it", 8.0, False), ("d", page, 5.0, 20.0, 95.0, 30.0, f"Heading {page} here", 18.0, True), ("d", page, 5.0, 40.0, 95.0, 50.0, f"exam-\nple text {page}", 10.0, False), ("d", page, 10.0, 62.0, 40.0, 68.0, "label in figure", 10.0, False)]
+    boxes = spark.createDataFrame(rows, "doc string, page int, x0 double, y0 double, x1 double, y1 double, text string, size double, bold boolean")
+    drawings = spark.createDataFrame([("d", p, 5.0, 60.0, 95.0, 80.0) for p in range(4)], "doc string, page int, x0 double, y0 double, x1 double, y1 double")
+    got = extraction.layout_article(boxes, drawings, 100.0, 100.0).orderBy("page", "nth").collect()
+    assert [(r["kind"], r["text"]) for r in got][:2] == [("h2", "Heading 0 here"), ("p", "example text 0")]
+    assert len(got) == 8
