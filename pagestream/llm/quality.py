@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small
+from .common import kept, small
 from .textscan import HASH_BITS, LINES, SPACED, Slice, Words, annotate, byte_class
 
 #: Relative error of the sketch is (GAMMA - 1) / (GAMMA + 1).
@@ -131,7 +131,7 @@ def _fences(sketch: DataFrame, by: list[str]) -> DataFrame:
 
 def thresholds(ratios: DataFrame) -> DataFrame:
     """lang, source and one cutoff for each ratio; small groups take their language's or the corpus's."""
-    sketch = cut(sketches(ratios))
+    sketch = kept(sketches(ratios))
     own = _fences(sketch, ["lang", "source"])
     lang = _fences(sketch, ["lang"]).select(F.col("lang").alias("l_lang"), F.col("ratio").alias("l_ratio"), F.col("fence").alias("l_fence"), F.col("docs").alias("l_docs"))
     whole = _fences(sketch, []).select(F.col("ratio").alias("w_ratio"), F.col("fence").alias("w_fence"))
@@ -143,8 +143,8 @@ def thresholds(ratios: DataFrame) -> DataFrame:
 def judge(documents: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """doc_id, lang, source, the counts, each ratio with its cutoff, ``base_failed`` and ``kept``."""
     named = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{source_col}`").alias("source"), F.col(f"`{text_col}`").alias("__text"))
-    counted = cut(text_counts(named, ["doc_id", "lang", "source"], "__text")).withColumns(_ratios())
-    limits = cut(thresholds(counted))
+    counted = kept(text_counts(named, ["doc_id", "lang", "source"], "__text")).withColumns(_ratios())
+    limits = kept(thresholds(counted))
     limits = small(limits, limits.count(), 8 * len(SLACK) + 64)
     joined = counted.join(limits, counted["lang"].eqNullSafe(limits["t_lang"]) & counted["source"].eqNullSafe(limits["t_source"]), "left").drop("t_lang", "t_source")
     failed = base_failed()
