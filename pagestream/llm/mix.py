@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small, word_count
+from .common import kept, small, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -60,8 +60,8 @@ def _placed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: flo
     """doc_id, source, size, key, source_size, target, whole epochs and the words taken of the last one."""
     size = word_count(F.col(f"`{text_col}`"))
     sized = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"))
-    sized = cut(sized.withColumn("key", random_key(F.col("doc_id"), F.col("size"), seed)))
-    targets = cut(source_targets(sized, weights, share, max_repeats).withColumns({"budget": F.round("target").cast("long"), "ranges": F.ceil(F.sqrt("n_docs")).cast("long")}))
+    sized = kept(sized.withColumn("key", random_key(F.col("doc_id"), F.col("size"), seed)))
+    targets = kept(source_targets(sized, weights, share, max_repeats).withColumns({"budget": F.round("target").cast("long"), "ranges": F.ceil(F.sqrt("n_docs")).cast("long")}))
     t = targets.withColumnRenamed("source", "t_source")
     ranged = sized.join(t, sized["source"].eqNullSafe(t["t_source"])).drop("t_source").withColumn("range", F.floor(F.col("key") / F.lit(float(1 << 52)) * F.col("ranges")))
     inner = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
@@ -89,7 +89,7 @@ def repeat_taken(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share
     for each source, so the rows meet a small table only and their texts do not move.
     """
     placed = _placed(documents, weights, share, max_repeats, id_col, source_col, text_col, seed)
-    cuts = cut(placed.groupBy(F.col("source").alias("__source")).agg(F.max("whole").alias("__whole"), F.max(F.when(F.col("part") > 0, F.col("key"))).alias("__cutoff")))
+    cuts = kept(placed.groupBy(F.col("source").alias("__source")).agg(F.max("whole").alias("__whole"), F.max(F.when(F.col("part") > 0, F.col("key"))).alias("__cutoff")))
     columns = documents.columns
     own = documents.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     name = lambda c: F.col(f"__c{columns.index(c)}")
