@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import kept
 
-#: Bytes of text in a bucket.
+#: Bytes of text in a bucket, and the most partitions that buckets are dealt to.
 BUCKET_BYTES = 16 << 20
+PARTITIONS = 100_000
 SEED = 20_240_601
 SHARD, SLOT = "shard", "slot"
 LAW = "rows"
@@ -56,12 +57,13 @@ def assign_shards(records: DataFrame, shards: int, id_col: str = "doc_id", text_
     buckets = max(1, -(-(total or 0) // bucket_bytes))
     own = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)]
     hashed = records.select(*own, key.alias("__key"), F.pmod(key, F.lit(buckets)).alias("__bucket"))
-    sizes = cut(hashed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")))
+    sizes = kept(hashed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")))
     offset = F.sum("n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
     drawn = sizes.select("__bucket", "n", F.lit(seed).cast("long").alias("seed"), offset.alias("offset"))
     perms = drawn.mapInArrow(_permutations, "p_bucket long, offset long, perm array<int>")
     place = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key", f"__c{columns.index(id_col)}"))
-    placed = hashed.withColumn("__nth", place).join(perms.hint("merge"), F.col("__bucket") == F.col("p_bucket"))
+    spread = hashed.repartition(min(buckets, PARTITIONS), "__bucket")
+    placed = spread.withColumn("__nth", place).join(perms.hint("merge"), F.col("__bucket") == F.col("p_bucket"))
     low, extra = divmod(rows, shards)
     g, wide = F.col("offset") + F.col("perm")[F.col("__nth") - 1], extra * (low + 1)
     placed = placed.withColumn("__g", g)
