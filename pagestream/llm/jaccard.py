@@ -322,9 +322,11 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     near = kept(near.distinct())
     candidates = kept(connected_components(near))
 
-    few = candidates.count()
-    reps = members.join(small(candidates, few, 16), F.col("cls") == F.col("v")).groupBy("cls", "root", "n").agg(F.min(F.struct("id_key", "text_key")).alias("rep"))
-    reps = kept(reps.select("cls", "root", "n", F.col("rep.id_key").alias("r_id"), F.col("rep.text_key").alias("r_key")))
+    # one row for each class from here on: copies are combined before any shuffle
+    firsts = kept(members.where("n > 0").groupBy("cls", "n").agg(F.min(F.struct(F.col("id_key").isNull().alias("none"), "id_key", "text_key")).alias("first")))
+    few, classes = candidates.count(), firsts.count()
+    reps = firsts.join(small(candidates, few, 16), F.col("cls") == F.col("v"))
+    reps = kept(reps.select("cls", "root", "n", F.col("first.id_key").alias("r_id"), F.col("first.text_key").alias("r_key")))
     sums = reps.groupBy("root").agg(F.sum("n").alias("held"))
     texts = docs.join(small(reps, few, 40), (F.col("text_key") == F.col("r_key")) & F.col("id_key").eqNullSafe(F.col("r_id"))).select("root", "cls", "n", TEXT)
     verify = _verified(k, num, den)
@@ -336,12 +338,11 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
         links = connected_components(links).select(F.col("v").alias("a"), F.col("root").alias("b"))
     groups = kept(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")))
 
-    firsts = members.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("id_key").isNull().alias("none"), "id_key", "text_key")).alias("first"))
     placed = firsts.join(small(groups, few, 16), F.col("cls") == F.col("g_cls"), "left").select("cls", F.coalesce("g_root", "cls").alias("group"), "first")
     # of classes alone in their group the first is known; only linked classes meet again
     linked = placed.join(small(groups.select(F.col("g_root").alias("group")).distinct(), few, 8), "group", "left_semi").groupBy("group").agg(F.min("first").alias("least"))
     placed = kept(placed.join(small(linked, few, 40), "group", "left").select(F.col("cls").alias("p_cls"), F.coalesce("least", "first").alias("first")))
-    found = members.join(placed, (F.col("cls") == F.col("p_cls")) & (F.col("n") > 0), "left")
+    found = members.join(small(placed, classes, 48), (F.col("cls") == F.col("p_cls")) & (F.col("n") > 0), "left")
     alone = F.col("p_cls").isNull()
     return found.select(
         F.col("id_key").alias("doc_id"),
