@@ -244,10 +244,12 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 x = features(part, lexicon)
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(list(x), type=pa.list_(pa.float64()))], names=["label", "x"])
 
-    fit = sample.where("part >= 5").select(TEXT, "label").mapInArrow(rows_of, "label double, x array<double>").orderBy("label", "x").toArrow()
+    fit = sample.where("part >= 5").select(TEXT, "label").mapInArrow(rows_of, "label double, x array<double>").toArrow()
     if not len(fit):
         return None
     x, y = np.array(fit["x"].to_pylist()), fit["label"].to_numpy()
+    order = np.lexsort(np.column_stack([x, y]).T)  # the same model whatever the order of the tasks
+    x, y = x[order], y[order]
     fold = np.random.default_rng(7).permutation(len(y)) % 5
     raw = np.zeros(len(y))
     for k in range(5):
