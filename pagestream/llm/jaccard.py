@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, small, small_batches
+from .common import cut, kept, small, small_batches
 from .components import connected_components
 from .textscan import HASH_BITS, SPACED, TEXT, Slice, mix, slices
 
@@ -320,11 +320,12 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     packed = scanned.where("kind = 1").select("tile", "body")
     near = packed.groupBy("tile").applyInArrow(_tile_edges, "a long, b long").unionAll(scanned.where("kind = 2").select("body").mapInArrow(_edge_rows, "a long, b long"))
     near = kept(near.distinct())
+    near = cut(near, near.count())
     candidates = kept(connected_components(near))
 
     # one row for each class from here on: copies are combined before any shuffle
     firsts = kept(members.where("n > 0").groupBy("cls", "n").agg(F.min(F.struct(F.col("id_key").isNull().alias("none"), "id_key", "text_key")).alias("first")))
-    few, classes = candidates.count(), firsts.count()
+    few = candidates.count()
     reps = firsts.join(small(candidates, few, 16), F.col("cls") == F.col("v"))
     reps = kept(reps.select("cls", "root", "n", F.col("first.id_key").alias("r_id"), F.col("first.text_key").alias("r_key")))
     sums = reps.groupBy("root").agg(F.sum("n").alias("held"))
@@ -336,13 +337,13 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     if not large.isEmpty():
         links = links.unionAll(_large_links(texts, reps, near, large, k, num, den, component_shingles))
         links = connected_components(links).select(F.col("v").alias("a"), F.col("root").alias("b"))
-    groups = kept(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")))
+    groups = cut(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")), few)
 
     placed = firsts.join(small(groups, few, 16), F.col("cls") == F.col("g_cls"), "left").select("cls", F.coalesce("g_root", "cls").alias("group"), "first")
     # of classes alone in their group the first is known; only linked classes meet again
     linked = placed.join(small(groups.select(F.col("g_root").alias("group")).distinct(), few, 8), "group", "left_semi").groupBy("group").agg(F.min("first").alias("least"))
     placed = kept(placed.join(small(linked, few, 40), "group", "left").select(F.col("cls").alias("p_cls"), F.coalesce("least", "first").alias("first")))
-    found = members.join(small(placed, classes, 48), (F.col("cls") == F.col("p_cls")) & (F.col("n") > 0), "left")
+    found = members.join(placed, (F.col("cls") == F.col("p_cls")) & (F.col("n") > 0), "left")
     alone = F.col("p_cls").isNull()
     return found.select(
         F.col("id_key").alias("doc_id"),
