@@ -23,7 +23,7 @@ way to it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import kept, small, written
@@ -55,13 +55,14 @@ def _generalised(lines: DataFrame, distinct: DataFrame, agree: int, min_texts: i
     """line, leaf of the lines that take their leaf's template."""
     leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("texts").alias("texts")).where((F.col("n") > 1) & (F.col("texts") >= min_texts)).select(F.col("leaf").alias("l_leaf"))
     leaves = kept(leaves)
-    shared = lines.select("leaf", "line", "masked").join(small(leaves, leaves.count(), 8), F.col("leaf") == F.col("l_leaf"), "left_semi")
+    n = leaves.count()
+    shared = lines.select("leaf", "line", "masked").join(small(leaves, n, 8), F.col("leaf") == F.col("l_leaf"), "left_semi")
     shared = kept(shared.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("masked").alias("masked")))
     tokens = shared.select("leaf", F.posexplode(F.split("masked", " ")).alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
-    best = F.row_number().over(Window.partitionBy("leaf", "at").orderBy(F.desc("n"), "token"))
-    dominant = tokens.withColumn("nth", best).where("nth = 1").groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("dominant"))
+    best = tokens.groupBy("leaf", "at").agg(F.min(F.struct((-F.col("n")).alias("less"), "token"))["token"].alias("token"))
+    dominant = best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("dominant"))
     same = F.size(F.filter(F.zip_with(F.split("masked", " "), F.col("dominant"), lambda a, b: a == b), lambda x: x))
-    return shared.join(dominant, "leaf").where(same * 100 >= F.size("dominant") * agree).select(F.col("line").alias("g_line"), F.col("leaf").alias("g_leaf"))
+    return shared.join(small(dominant, n, 512), "leaf").where(same * 100 >= F.size("dominant") * agree).select(F.col("line").alias("g_line"), F.col("leaf").alias("g_leaf"))
 
 
 def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS) -> DataFrame:
