@@ -337,7 +337,8 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     if not large.isEmpty():
         links = links.unionAll(_large_links(texts, reps, near, large, k, num, den, component_shingles))
         links = connected_components(links).select(F.col("v").alias("a"), F.col("root").alias("b"))
-    groups = cut(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")), few)
+    found = kept(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")))
+    groups = cut(found, found.count())  # counted first, so that the search keeps its tasks
 
     placed = firsts.join(small(groups, few, 16), F.col("cls") == F.col("g_cls"), "left").select("cls", F.coalesce("g_root", "cls").alias("group"), "first")
     # of classes alone in their group the first is known; only linked classes meet again
