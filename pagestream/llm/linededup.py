@@ -6,8 +6,9 @@ In a leaf that several different lines reach, each further position has a domina
 token; a line that agrees with at least ``AGREE`` percent of the leaf's dominant tokens
 (leading tokens included) takes the leaf's template, in which the other positions are
 variable.  Any other line is its own template.  Templates found in ``MIN_TEXTS`` or more
-different texts are dropped from all of them; lines of fewer than ``MIN_TOKENS`` tokens
-are never dropped.
+different texts are dropped from all of them.  Lines of fewer than ``MIN_TOKENS`` tokens
+stay by default, as in ``LINES_SQL``; with ``short_texts`` they are dropped too, each by
+its masked line, where that is found in so many different texts.  Blank lines stay.
 
 Copies of a document count as one text: they are a matter for document dedup, and their
 lines do not become boilerplate by them.  A line is parsed once; the parsed lines are a
@@ -65,10 +66,10 @@ def _generalised(lines: DataFrame, distinct: DataFrame, agree: int, min_texts: i
     return shared.join(small(dominant, n, 512), "leaf").where(same * 100 >= F.size("dominant") * agree).select(F.col("line").alias("g_line"), F.col("leaf").alias("g_leaf"))
 
 
-def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS) -> DataFrame:
+def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int | None = None) -> DataFrame:
     """key, positions: the lines (from 0, sorted) of each text that are to be dropped."""
-    lines, _ = written(parsed_lines(texts, text_col), "lines")
-    lines = lines.where(F.col("size") >= MIN_TOKENS)
+    parsed, _ = written(parsed_lines(texts, text_col), "lines")
+    lines = parsed.where(F.col("size") >= MIN_TOKENS)
     once = lines.groupBy("leaf", "line", "key").agg(F.count(F.lit(1)).alias("n"))
     distinct = kept(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts")))
     general = kept(_generalised(lines, distinct, agree, min_texts))
@@ -78,18 +79,25 @@ def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_tex
     alone = distinct.join(small(general, n, 16), F.col("line") == F.col("g_line"), "left_anti").where(F.col("texts") >= min_texts).select(F.col("line").alias("r_template"), F.lit(False).alias("r_general"))
     grouped = lines.select("line", "key").join(small(general, n, 16), F.col("line") == F.col("g_line")).select("g_leaf", "key").distinct().groupBy("g_leaf").count()
     grouped = grouped.where(F.col("count") >= min_texts).select(F.col("g_leaf").alias("r_template"), F.lit(True).alias("r_general"))
-    recurring = kept(alone.unionAll(grouped))
+    recurring = alone.unionAll(grouped)
+    if short_texts is not None:
+        # a short line is alone in its leaf but for masked copies
+        short = parsed.where((F.col("size") < MIN_TOKENS) & (F.col("masked") != ""))
+        often = short.select("line", "key").distinct().groupBy("line").count().where(F.col("count") >= short_texts)
+        recurring = recurring.unionAll(often.select("line", F.lit(False)))
+        lines = parsed.where(F.col("masked") != "")
+    recurring = kept(recurring)
     named = template(lines.select("key", "pos", "line"))
     gone = named.join(small(recurring, recurring.count(), 16), (F.col("template") == F.col("r_template")) & (F.col("general") == F.col("r_general")), "left_semi")
     return gone.groupBy("key").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
 
 
-def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE, min_texts: int = MIN_TEXTS) -> DataFrame:
+def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int | None = None) -> DataFrame:
     """All columns, the text without its recurring lines, with ``n_lines`` and ``n_dropped``."""
     columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped") or c == text_col]
     own = documents.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     text = f"__c{columns.index(text_col)}"
-    gone = kept(recurring_lines(own.select(text), text, agree, min_texts).withColumnsRenamed({"key": "__key", "positions": "__gone"}))
+    gone = kept(recurring_lines(own.select(text), text, agree, min_texts, short_texts).withColumnsRenamed({"key": "__key", "positions": "__gone"}))
     joined = own.join(small(gone, gone.count(), 64), F.xxhash64(text) == F.col("__key"), "left")
     lines = F.split(F.col(text), "\n")
     left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n"))

@@ -159,6 +159,15 @@ def test_templates_drop_recurring_lines(spark):
     assert all(r["n_dropped"] == 0 for r in linededup.dedup_lines(copies).collect())
 
 
+def test_short_lines_recur(spark):
+    docs = [(i, f"only text {'abcdef'[i]} says this {'q' * i}\n\nAll rights  reserved.\nPage {i}\n{'rare' if i < 3 else 'r' * i}") for i in range(6)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in linededup.dedup_lines(docs, short_texts=5).collect()}
+    assert all("reserved" not in r["text"] and "Page" not in r["text"] and r["n_dropped"] == 2 for r in got.values())
+    assert all("\n\n" in r["text"] and "says this" in r["text"] for r in got.values())
+    assert got[0]["text"].endswith("rare")
+
+
 def test_language_held_out(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     held = langid.held_out(F.col("doc_id"), 4, 2)
