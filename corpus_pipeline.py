@@ -4,7 +4,8 @@ A stage gets what its predecessor kept, as a Parquet table, and returns a DataFr
 but the last return the columns of ``documents``.
 
 1. ``language``: mixture language identification; documents in no language (no letter, no
-   text) go, all others stay with their own columns.
+   text) go, all others stay with their own columns, also where no labelled text exists to
+   learn from.  The mixture itself rejects nothing.
 2. ``near_duplicates``: n-gram Jaccard join on five-word shingles at 0.8; the document of
    the smallest id of each group stays.
 3. ``decontaminate``: documents with a benchmark window go.
@@ -31,6 +32,8 @@ SHARDS = 8
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some language."""
     model = langid.train(docs)
+    if model is None:  # no labelled text to learn from: a letter is enough, as with a model
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     found = langid.identify(docs.select(*COLUMNS), model, list(COLUMNS))
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 

@@ -72,5 +72,10 @@ def test_pipeline_stages(spark, sf, tmp_path):
         before = {r["doc_id"]: r["text"] for r in rows}
 
 
+def test_language_stage_without_labels(spark, sf):
+    docs = spark.createDataFrame([(1, "clean words", None, "s", 11), (2, "12 34 !", None, "s", 7), (3, None, None, "s", 0), (4, "слова", None, "s", 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, sf).collect()) == [1, 4]
+
+
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).where(F.col("slot") == 0).count() == 8
