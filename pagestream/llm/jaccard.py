@@ -112,7 +112,7 @@ def _signatures(doc: np.ndarray, h: np.ndarray, size: np.ndarray, num: int, den:
         owner = np.repeat(np.arange(len(m)), m)
         content = mix(sums.copy())
         rank = (owner.astype(np.uint64) << np.uint64(52)) | (tells << np.uint64(48)) | (content >> np.uint64(16))
-        order = np.argsort(rank)
+        order = np.argsort(rank, kind="stable")  # ties, such as empty pieces, go by piece number in every set
         left = order[np.arange(total) - base[owner[order]] >= spare[key][owner[order]]]
         salt = mix(key[owner[left]].astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + (left - base[owner[left]]).astype(np.uint64))
         out.append((mix(sums[left] + salt), owner[left], key[owner[left]]))

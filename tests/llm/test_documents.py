@@ -159,6 +159,17 @@ def test_templates_drop_recurring_lines(spark):
     assert all(r["n_dropped"] == 0 for r in linededup.dedup_lines(copies).collect())
 
 
+def test_linked_short_sets_share_a_signature():
+    rng = np.random.default_rng(4)
+    for _ in range(4):
+        base = rng.integers(0, 1 << 52, (400, 5), dtype=np.uint64)
+        h = np.concatenate([np.concatenate([row, row[:4]]) for row in base])  # 4 of 5 shingles in common
+        doc = np.repeat(np.arange(800), np.tile([5, 4], 400))
+        sig, owner, _ = jaccard._signatures(doc, h, np.bincount(doc), 80, 100, jaccard.Frequent(np.zeros(0, dtype=np.uint64)))
+        have = [set(sig[owner == d].tolist()) for d in range(800)]
+        assert all(have[d] & have[d + 1] for d in range(0, 800, 2))
+
+
 def test_short_lines_recur(spark):
     docs = [(i, f"only text {'abcdef'[i]} says this {'q' * i}\n\nAll rights  reserved.\nPage {i}\n{'rare' if i < 3 else 'r' * i}") for i in range(6)]
     docs = spark.createDataFrame(docs, "doc_id long, text string")
