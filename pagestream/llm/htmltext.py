@@ -38,9 +38,13 @@ from pyspark.sql import types as T
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object noembed noframes xmp".split())
-HIDDEN = frozenset("script style noscript iframe template svg math object noembed noframes head title select option textarea button input canvas audio video datalist".split())
+#: Their content is no markup; without an end tag they reach to the end of the page.
+PLAIN = frozenset("script style textarea title iframe noembed noframes xmp".split())
+#: Skipped to their own end tag; without one, only the start tag is.
+SKIPPED = frozenset("noscript template svg object annotation annotation-xml mphantom".split())
+HIDDEN = frozenset("script style noscript iframe template svg object noembed noframes head title select option textarea button input canvas audio video datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE |= frozenset("math semantics mrow mi mn mo ms mtext mspace mstyle mpadded msup msub msubsup mfrac msqrt mroot mover munder munderover mmultiscripts menclose merror mtable mtr mtd".split())
 #: An open element of the right is closed by the start of one of the left.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "thead": ("tr",), "tbody": ("thead", "tr"), "option": ("option",),
@@ -65,7 +69,6 @@ TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol",
 EDGES = tuple(TAGS) + ("body", "inline", "other")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
@@ -102,6 +105,24 @@ def _attributes(raw: str) -> tuple[tuple[str, ...], bool, str]:
     return tuple(sorted(hints)), hidden, mark
 
 
+@lru_cache(maxsize=len(SKIPPED))
+def _tags_of(tag: str) -> re.Pattern:
+    attributes = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    return re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|(?P<end></{tag}\s*>)|(?P<start><{tag}(?=[\s/>]){attributes})", re.S | re.I)
+
+
+def _ends(page: str, tag: str) -> dict[int, int]:
+    """Place after the start tag of each closed ``tag`` element: place after its own end tag."""
+    ends, opened = {}, []
+    for m in _tags_of(tag).finditer(page):
+        if m["end"]:
+            if opened:
+                ends[opened.pop()] = m.end()
+        elif m["start"] and not m[0].endswith("/>"):
+            opened.append(m.end())
+    return ends
+
+
 def parse(page: str) -> list[Node]:
     """The nodes in page order; node 0 is the root, and every parent comes before its children.
 
@@ -115,6 +136,7 @@ def parse(page: str) -> list[Node]:
     order = 0
     at = 0
     inline: list[str] = []
+    ends: dict[str, dict[int, int]] = {}
 
     def text(piece: str):
         nonlocal order
@@ -166,7 +188,14 @@ def parse(page: str) -> list[Node]:
             elif tag not in INLINE and not close(tag) and tag in BLOCKS:
                 boundary()
             continue
-        if tag in RAW:
+        if tag in SKIPPED:
+            # only svg and MathML elements can be written as empty ones
+            if not (raw.endswith("/") and tag not in ("noscript", "template", "object")):
+                if tag not in ends:
+                    ends[tag] = _ends(page, tag)
+                at = ends[tag].get(at, at)
+            continue
+        if tag in PLAIN:
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = stop.end() if stop else len(page)
             continue

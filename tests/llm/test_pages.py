@@ -54,6 +54,21 @@ def test_main_text(page, expected):
     assert htmltext.extract(page, htmltext.default_model()) == expected
 
 
+SKIPS = [
+    ('<article><h1>T</h1><p>one <svg class="icon"/> two</p><p>three</p></article>', "T one two three"),
+    ('<article><h1>T</h1><p>one <svg viewBox="0 0 1 1"> two</p><p>three <svg><text>no</text></svg> four</p></article>', "T one two three four"),
+    ("<article><h1>T</h1><p>a<svg><svg><text>no</text></svg><text>no</text></svg>b</p></article>", "T ab"),
+    ("<article><h1>T</h1><p>one <object data=x> two</p><p>three</p></article>", "T one two three"),
+    ("<article><h1>T</h1><p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x = 2</annotation></semantics></math> holds</p></article>", "T so x=2 holds"),
+    ("<article><h1>T</h1><p>so <math/> holds</p><p>one</p><script>no", "T so holds one"),
+]
+
+
+@pytest.mark.parametrize(("page", "expected"), SKIPS)
+def test_skipped_elements(page, expected):
+    assert htmltext.extract(page, htmltext.default_model()) == expected
+
+
 def test_held_out_pages():
     model, right, every = htmltext.default_model(), 0, 0
     for page in htmltext.labelled_pages(60, seed=77):
