@@ -12,8 +12,9 @@ training pages from several layouts with every kind of boilerplate; a caller may
 labelled pages of its own.
 
 Parsing keeps the whole page, tolerates unclosed tags, and never looks into scripts,
-styles, comments or other invisible elements.  Pages are independent, so extraction is one
-narrow pass.
+styles, comments or other invisible elements.  Attributes are read as pairs of name and
+value: only a quote right after ``=`` opens a value, and one that is never closed is part of
+an unquoted value.  Pages are independent, so extraction is one narrow pass.
 
 Defined results: a null or empty page gives an empty text; a page without markup is one
 block of content; character references are decoded, white space inside a block becomes
@@ -24,6 +25,7 @@ alike.
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
 from collections.abc import Iterable
@@ -42,6 +44,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 PLAIN = frozenset("script style textarea title iframe noembed noframes xmp".split())
 #: Skipped to their own end tag; without one, only the start tag is.
 SKIPPED = frozenset("noscript template svg object annotation annotation-xml mphantom".split())
+#: Only svg and MathML elements can be written as empty ones.
+SELF_CLOSED = SKIPPED - frozenset("noscript template object".split())
 HIDDEN = frozenset("script style noscript iframe template svg object noembed noframes head title select option textarea button input canvas audio video datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 INLINE |= frozenset("math semantics mrow mi mn mo ms mtext mspace mstyle mpadded msup msub msubsup mfrac msqrt mroot mover munder munderover mmultiscripts menclose merror mtable mtr mtd".split())
@@ -68,8 +72,11 @@ _HINTS = tuple(HINTS)
 TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "nav", "header", "footer", "aside", "form", "table", "blockquote", "pre", "figure", "a", "dialog", "address", "menu", "details")
 EDGES = tuple(TAGS) + ("body", "inline", "other")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# Every quantifier is possessive: a match goes forward only, whatever the page holds.
+_ATTRIBUTE = r"(=?[^\s/>=]++|=)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+"
+_TAG = re.compile(rf"<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|{re.sub(r'[(](?![?])', '(?:', _ATTRIBUTE)})*+)(>?)")
+_ATTR = re.compile(_ATTRIBUTE)
+_COMMENT_END = re.compile(r"--!?>")
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
 
@@ -87,56 +94,100 @@ class Node:
     label: int = -1
 
 
-def _attributes(raw: str) -> tuple[tuple[str, ...], bool, str]:
-    hints, hidden, mark = set(), False, ""
-    if raw and "=" in raw or "hidden" in raw.lower():
-        for m in _ATTR.finditer(raw):
-            name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if name in ("class", "id", "role"):
-                hints |= {_HINT[w] for w in _WORDS.findall(value) if w in _HINT}
-                if name == "role" and value in ("banner", "contentinfo"):
-                    hints.add("frame")
-                if name == "role" and value == "complementary":
-                    hints.add("side")
-            elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-                hidden = True
-    if "data-label" in raw:
-        mark = "1" if 'data-label="1"' in raw else "0"
-    return tuple(sorted(hints)), hidden, mark
-
-
-@lru_cache(maxsize=len(SKIPPED))
-def _tags_of(tag: str) -> re.Pattern:
-    attributes = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    return re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|(?P<end></{tag}\s*>)|(?P<start><{tag}(?=[\s/>]){attributes})", re.S | re.I)
-
-
-def _ends(page: str, tag: str) -> dict[int, int]:
-    """Place after the start tag of each closed ``tag`` element: place after its own end tag."""
-    ends, opened = {}, []
-    for m in _tags_of(tag).finditer(page):
-        if m["end"]:
-            if opened:
-                ends[opened.pop()] = m.end()
-        elif m["start"] and not m[0].endswith("/>"):
-            opened.append(m.end())
+def attributes(raw: str) -> tuple[dict[str, str], bool]:
+    """Names and values of a tag's attributes, the first of a name counting, and whether the tag ends in a slash of its own."""
+    found, last = {}, 0
+    for m in _ATTR.finditer(raw):
+        found.setdefault(m[1].lower(), next((v for v in m.group(2, 3, 4) if v is not None), ""))
+        last = m.end()
+    return found, raw.rstrip().endswith("/") and last < len(raw.rstrip())
+
+
+def _told(found: dict[str, str]) -> tuple[tuple[str, ...], bool, str]:
+    """(hints, hidden, label) of an element's attributes."""
+    hints = {_HINT[w] for name in ("class", "id", "role") if name in found for w in _WORDS.findall(found[name].lower()) if w in _HINT}
+    role = found.get("role", "").lower()
+    if role in ("banner", "contentinfo"):
+        hints.add("frame")
+    if role == "complementary":
+        hints.add("side")
+    hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").lower().replace(" ", "")
+    return tuple(sorted(hints)), hidden, found.get("data-label", "")
+
+
+def next_tag(page: str, at: int) -> tuple[int, int, str, str, str]:
+    """(from, to, "/" of an end tag, name, attributes) of the next piece of markup; a comment has no name.
+
+    A ``<`` that starts no markup is text.  A tag that the page's end cuts off is markup if
+    it has an attribute with a value, else the rest of the page is text.
+    """
+    n = len(page)
+    while (start := page.find("<", at)) >= 0:
+        first = page[start + 1 : start + 2]
+        if first in ("!", "?") or first == "/" and not page[start + 2 : start + 3].isalpha() and start + 2 < n:
+            if page.startswith("<!--", start):
+                if page.startswith((">", "->"), start + 4):
+                    return start, page.index(">", start) + 1, "", "", ""
+                m = _COMMENT_END.search(page, start + 4)
+                return start, m.end() if m else n, "", "", ""
+            end = page.find(">", start)
+            return start, end + 1 if end >= 0 else n, "", "", ""
+        m = _TAG.match(page, start)
+        if m is None:
+            at = start + 1
+        elif m[4]:
+            return start, m.end(), m[1], m[2].lower(), m[3]
+        elif "=" in m[3] and any(attributes(m[3])[0].values()):
+            return start, n, "", "", ""
+        else:
+            break
+    return n, n, "", "", ""
+
+
+def _after_end_tag(page: str, tag: str, at: int) -> int:
+    """Place after the end tag of ``tag``; the page's end where there is none."""
+    m = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+    end = page.find(">", m.end()) if m else -1
+    return end + 1 if end >= 0 else len(page)
+
+
+def _ends(page: str) -> dict[int, int]:
+    """Place after the start tag of each closed skipped element: place after its own end tag."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    at = 0
+    while at < len(page):
+        _, at, slash, tag, raw = next_tag(page, at)
+        if tag in SKIPPED:
+            if not slash:
+                if not (tag in SELF_CLOSED and attributes(raw)[1]):
+                    opened.setdefault(tag, []).append(at)
+            elif opened.get(tag):
+                ends[opened[tag].pop()] = at
+        elif tag in ("script", "style") and not slash:
+            at = _after_end_tag(page, tag, at)
     return ends
 
 
+_BARRIERS = ("ul", "ol", "dl", "table", "div", "article", "section", "nav")
+
+
 def parse(page: str) -> list[Node]:
     """The nodes in page order; node 0 is the root, and every parent comes before its children.
 
     Inline elements do not become nodes: their text belongs to the block around them.
     Each node's texts carry the order of the piece in the page; a piece may be ``None``
-    for the end of a block.
+    for the end of a block.  The page is read forward once (once more where it holds
+    skipped elements), and open elements are found by name, so time follows its length.
     """
     nodes = [Node("body", -1)]
     stack = [0]
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by name
     anchors = 0
     order = 0
     at = 0
-    inline: list[str] = []
-    ends: dict[str, dict[int, int]] = {}
+    ends: dict[int, int] | None = None
+    head = False
 
     def text(piece: str):
         nonlocal order
@@ -156,51 +207,46 @@ def parse(page: str) -> list[Node]:
 
     def close(tag: str) -> bool:
         nonlocal anchors
-        for k in range(len(stack) - 1, 0, -1):
-            if nodes[stack[k]].tag == tag:
-                boundary()
-                del stack[k:]
-                inline.clear()
-                anchors = 0
-                boundary()
-                return True
-        return False
+        if not places.get(tag):
+            return False
+        k = places[tag][-1]
+        boundary()
+        for i in stack[k:]:
+            places[nodes[i].tag].pop()
+        del stack[k:]
+        anchors = 0
+        boundary()
+        return True
 
-    while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            text(page[at:])
-            break
-        text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    while at < len(page):
+        start, stop, slash, tag, raw = next_tag(page, at)
+        text(page[at:start])
+        at = stop
+        if not tag:
             continue
-        end, tag, raw = m[1] == "/", m[2].lower(), m[3] or ""
         if tag in ("html", "body", "head", "meta", "link", "base"):
-            if tag == "head" and not end:
-                stop = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
-                if stop:
-                    at = stop.end() if stop[0][1] == "/" else stop.start()
+            if tag == "head" and not slash and not head:
+                head = True
+                if m := re.compile(r"</head(?=[\s/>])|<body(?=[\s/>])", re.I).search(page, at):
+                    at = m.start()
             continue
-        if end:
+        if slash:
             if tag == "a":
                 anchors = max(0, anchors - 1)
             elif tag not in INLINE and not close(tag) and tag in BLOCKS:
                 boundary()
             continue
         if tag in SKIPPED:
-            # only svg and MathML elements can be written as empty ones
-            if not (raw.endswith("/") and tag not in ("noscript", "template", "object")):
-                if tag not in ends:
-                    ends[tag] = _ends(page, tag)
-                at = ends[tag].get(at, at)
+            if not (tag in SELF_CLOSED and attributes(raw)[1]):
+                if ends is None:
+                    ends = _ends(page)
+                at = ends.get(at, at)
             continue
         if tag in PLAIN:
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else len(page)
+            at = _after_end_tag(page, tag, at)
             continue
         if tag in INLINE:
-            if tag == "a" and not raw.rstrip().endswith("/"):
+            if tag == "a" and not attributes(raw)[1]:
                 anchors += 1
             continue
         if tag in ("br", "hr"):
@@ -210,20 +256,18 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in BLOCKS and nodes[stack[-1]].tag == "p":
             close("p")
-        for k in range(len(stack) - 1, 0, -1):
-            open_tag = nodes[stack[k]].tag
-            if open_tag in CLOSES.get(tag, ()):
-                close(open_tag)
-                break
-            if open_tag in ("ul", "ol", "dl", "table", "div", "article", "section", "nav"):
-                break
+        nearest = max((places[t][-1] for t in CLOSES.get(tag, ()) if places.get(t)), default=-1)
+        if nearest > max((places[t][-1] for t in _BARRIERS if places.get(t)), default=-1):
+            close(nodes[stack[nearest]].tag)
         boundary()
-        hints, hidden, mark = _attributes(raw)
-        nodes.append(Node(tag, stack[-1], hints, hidden or tag in HIDDEN, label=int(mark) if mark else -1))
+        found, empty = attributes(raw) if raw else ({}, False)
+        hints, hidden, mark = _told(found) if found else ((), False, "")
+        nodes.append(Node(tag, stack[-1], hints, hidden or tag in HIDDEN, label=int(mark == "1") if mark else -1))
         nodes[stack[-1]].kids += 1
+        places.setdefault(tag, []).append(len(stack))
         stack.append(len(nodes) - 1)
         anchors = 0
-        if raw.rstrip().endswith("/") and tag not in BLOCKS:
+        if empty and tag not in BLOCKS:
             close(tag)
     return nodes
 
@@ -328,7 +372,7 @@ def _add(a: float, b: float) -> float:
     """log(exp a + exp b)."""
     hi, lo = (a, b) if a > b else (b, a)
     d = lo - hi
-    return hi + (np.log1p(np.exp(d)) if d > -30 else 0.0)
+    return hi + (math.log1p(math.exp(d)) if d > -30 else 0.0)
 
 
 def extract(page: str | None, model: Model) -> str:

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,46 @@ def test_skipped_elements(page, expected):
     assert htmltext.extract(page, htmltext.default_model()) == expected
 
 
+MARKUP = [
+    ('<article data-id="comments-12"><p>One two three four</p></article>', "One two three four"),
+    ('<p data-tip="hidden fees" data-class="ad">One two ...</p>', "One two ..."),
+    ('<p title=\'class="ad" hidden\'>One two ...</p>', "One two ..."),
+    ("<p>One <a href=x title=it's>two</a> three.</p><p>It's four.</p><p>Five.</p>", "One two three. It's four. Five."),
+    ('<p>one <a href="never closed>two</a> three</p>', "one two three"),
+    ("<p>1<!-- x --!>2<!-->3<!--->4</p><!-- end", "1234"), ("text <b and more", "text <b and more"), ('<p>x</p><a href="cut off', "x"), ("<", "<"), ("a </", "a </"),
+    ("<article><h1>T</h1><p>one</p><div CLASS=ad CLASS=content>Buy this now</div></article>", "T one"),
+    ("<article><h1>T</h1><p>one<script>if (a </script ) b</script>two</p></article>", "T onetwo"),
+]
+
+
+@pytest.mark.parametrize(("page", "expected"), MARKUP)
+def test_markup_is_read_forward(page, expected):
+    assert htmltext.extract(page, htmltext.default_model()) == expected
+
+
+@pytest.mark.parametrize("unit", ["<a 'b ", '<a "b ', '<a x="b ', "<a b=", "<!--", "<script ", "</script ", "<head>", "<svg>", "<p><x></li>", "<div></x>"])
+def test_hostile_pages_take_linear_time(unit):
+    model = htmltext.default_model()
+
+    def seconds(n):
+        page = "<article><p>hi</p>" + unit * (n // len(unit))
+        began = time.process_time()
+        htmltext.extract(page, model)
+        return time.process_time() - began
+
+    small, large = seconds(1 << 16), seconds(1 << 19)
+    assert large < 24 * max(small, 0.02)  # quadratic work would be 64 times as long
+    if unit == "<a 'b ":
+        assert seconds(1 << 20) < 1
+
+
+def test_repeated_pages_are_alike(spark):
+    long = "<article><h1>T</h1>" + "<p>some words of the text</p>" * 40_000 + "</article>"
+    pages = spark.createDataFrame([(1, long), (1, long), (2, None), (2, None), (None, "")], "page_id long, html string")
+    got = htmltext.extract_pages(pages, ["page_id"]).collect()
+    assert sorted((r["page_id"] or 0, len(r["text"])) for r in got) == [(0, 0), (1, 40_000 * 23 + 1), (1, 40_000 * 23 + 1), (2, 0), (2, 0)]
+
+
 def test_held_out_pages():
     model, right, every = htmltext.default_model(), 0, 0
     for page in htmltext.labelled_pages(60, seed=77):
