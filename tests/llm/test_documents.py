@@ -186,6 +186,71 @@ def test_language_held_out(spark, sf):
     assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.9
 
 
+def invented(n, seed=1):
+    """n languages, each with words of its own."""
+    r = random.Random(seed)
+    return {f"l{i:03}": ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 6))) for _ in range(30)] for i in range(n)}
+
+
+def test_every_language_is_learned(spark):
+    r, languages = random.Random(2), invented(300)
+    text = lambda k: " ".join(r.choice(languages[k]) for _ in range(60))
+    # the last language has one row, the others more
+    rows = [(1000 * i + j, text(k), k) for i, k in enumerate(languages) for j in range(1 if k == "l299" else 4)]
+    docs = spark.createDataFrame([(i, text(k), k) for i, k in enumerate(languages)], "doc_id long, text string, lang string")
+    for bound in (8192, 300):
+        model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=bound)
+        assert sorted(model.languages) == sorted(languages)
+        got = {x["lang"]: x["lang_pred"] for x in langid.identify(docs, model, ["lang"]).collect()}
+        assert got["l299"] == "l299"
+        assert np.mean([k == v for k, v in got.items()]) > 0.97
+
+
+def test_counts_and_likelihoods_match_plain_python(spark):
+    rows = [(1, "Abab abba", "x"), (2, "bab é", "x"), (3, "zzz zz", "y"), (4, "a", "y"), (5, "", "y")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = {k: {} for k in model.languages}
+    for _, text, lang in rows:
+        b = brute.fold(text).encode()
+        for i in range(len(b) - 2):
+            g = int.from_bytes(b[i : i + 3], "big") * 2654435761 % 2**32 >> 32 - langid.GRAM_BITS
+            counts[lang][g] = counts[lang].get(g, 0) + 1
+    seen = sorted(set().union(*counts.values()))
+    assert np.flatnonzero(model.code).tolist() == seen
+    for k, lang in enumerate(model.languages):
+        whole = sum(counts[lang].values()) + 0.1 * 2**langid.GRAM_BITS
+        for c in set(model.code[seen].tolist()):
+            assert model.p[c, k] == pytest.approx(sum((counts[lang].get(g, 0) + 0.1) / whole for g in seen if model.code[g] == c), rel=1e-6)
+        assert model.unseen[k] == pytest.approx((2**langid.GRAM_BITS - len(seen)) * 0.1 / whole)
+
+
+def test_mixtures_match_plain_em():
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet(np.ones(6), size=3).T  # 6 codes, 3 languages
+    counts = rng.integers(0, 9, (5, 6)).astype(float)
+    share, likelihood = langid._em(counts, p, 7)
+    for d in range(5):
+        s = [1 / 3] * 3
+        for _ in range(7):
+            new = [0.0] * 3
+            for c in range(6):
+                mixed = sum(s[k] * p[c, k] for k in range(3))
+                for k in range(3):
+                    new[k] += counts[d, c] * s[k] * p[c, k] / mixed
+            s = [x / sum(new) for x in new]
+        assert share[d] == pytest.approx(s)
+        assert likelihood[d] == pytest.approx(sum(counts[d, c] * np.log(sum(s[k] * p[c, k] for k in range(3))) for c in range(6)) / langid.OVERLAP)
+    # the part of no language: two components, plain and mixture
+    model = langid.Model(["a", "b", "c"], np.zeros(1, dtype=int), p, np.ones(3) / 3, p[0].copy(), rng.dirichlet(np.ones(6)))
+    got = langid.background(counts, [[0]] * 4 + [[1, 2]], [[1.0]] * 4 + [[0.25, 0.75]], model, 9)
+    for d in range(5):
+        own = [p[c, 0] if d < 4 else 0.25 * p[c, 1] + 0.75 * p[c, 2] for c in range(6)]
+        part = 0.5
+        for _ in range(9):
+            part = sum(counts[d, c] * part * model.plain[c] / (part * model.plain[c] + (1 - part) * own[c]) for c in range(6)) / counts[d].sum()
+        assert got[d] == pytest.approx(part)
+
+
 def test_language_mixture(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) > 300")
     model = langid.train(docs)

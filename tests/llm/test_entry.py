@@ -57,7 +57,9 @@ def test_pipeline_stages(spark, sf, tmp_path):
         if name != "shard":
             assert tuple(docs.columns) == corpus_pipeline.COLUMNS
         if name == "language":
-            assert {r["doc_id"] for r in rows} == {d for d, t in before.items() if t and any(c.isalpha() for c in t)}
+            letters = {d for d, t in before.items() if t and any(c.isalpha() for c in t)}
+            labelled = {r["doc_id"] for r in docs.where("lang is not null").collect()}
+            assert labelled & letters == {r["doc_id"] for r in rows} & letters  # documents of learned languages stay
         elif name == "near_duplicates":
             assert sorted(r["doc_id"] for r in rows) == sorted({g for _, g in brute.groups(list(before.items()), 5, 80, 100).values()})
         elif name == "decontaminate":
@@ -77,5 +79,21 @@ def test_language_stage_without_labels(spark, sf):
     assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, sf).collect()) == [1, 4]
 
 
+def test_language_stage_decides(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    one = {r["lang"]: r["text"] for r in docs.where("length(text) > 300").collect()}
+    half = lambda k: one[k][: min(len(one["en"]), len(one["de"]))]
+    new = [
+        (-1, "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 3, None), (-2, "qzxj vkqw xzzq jjkx wqvz qxqx zvkj xkcq vvqz " * 5, None), (-3, one["de"], None),
+        (-4, half("en") + " " + half("de"), None), (-5, "123 456 !!", "en"), (-6, one["en"], None),
+    ]
+    both = docs.unionByName(spark.createDataFrame([(i, t, k, "s", len(t)) for i, t, k in new], docs.schema))
+    kept = lambda **wanted: {r["doc_id"] for r in corpus_pipeline.language(spark, both, sf, **wanted).where("doc_id < 0").collect()}
+    assert kept() == {-3, -4, -6}  # another language, no language and no letter go
+    assert kept(languages=["en"], least=0.8) == {-6}  # the wrong language and the mixture go
+    assert kept(languages=["en", "de"], least=0.8) == {-3, -4, -6}
+    assert kept(least=0.0) == {-1, -2, -3, -4, -6}
+
+
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).where(F.col("slot") == 0).count() == 8
