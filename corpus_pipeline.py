@@ -3,9 +3,10 @@
 A stage gets what its predecessor kept, as a Parquet table, and returns a DataFrame.  All
 but the last return the columns of ``documents``.
 
-1. ``language``: mixture language identification; documents in no language (no letter, no
-   text) go, all others stay with their own columns, also where no labelled text exists to
-   learn from.  The mixture itself rejects nothing.
+1. ``language``: mixture language identification; a document stays if the wanted languages
+   (``LANGUAGES``; all learned ones by default) explain at least ``LEAST`` of its text.
+   Documents without a letter, in other languages or of no language go.  Where no labelled
+   text exists to learn from, every document with a letter stays.
 2. ``near_duplicates``: n-gram Jaccard join on five-word shingles at 0.8; the document of
    the smallest id of each group stays.
 3. ``decontaminate``: documents with a benchmark window go.
@@ -18,6 +19,7 @@ but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +29,18 @@ from pagestream.llm.common import shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHARDS = 8
+#: The languages that the first stage keeps (None: every learned one), and how much of a text they must explain.
+LANGUAGES: Sequence[str] | None = None
+LEAST = 0.5
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language."""
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: Sequence[str] | None = LANGUAGES, least: float = LEAST) -> DataFrame:
+    """Documents of which the wanted languages explain at least ``least``."""
     model = langid.train(docs)
     if model is None:  # no labelled text to learn from: a letter is enough, as with a model
         return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     found = langid.identify(docs.select(*COLUMNS), model, list(COLUMNS))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (langid.explained(languages) >= least)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
