@@ -74,6 +74,15 @@ def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     return (df if rows is None else df.coalesce(-(-rows // CUT_ROWS) or 1)).checkpoint()
 
 
+def settled(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` computed once by as many tasks as it has, counted, then cut; and its number of rows."""
+    held = kept(df)
+    n = held.count()
+    done = cut(held, n)
+    held.unpersist()
+    return done, n
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark ``df`` for broadcast if its counted rows fit BROADCAST_BYTES; else leave the join to Spark."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -59,7 +59,8 @@ def connected_components(edges: DataFrame, one_task: int = ONE_TASK_EDGES) -> Da
     start = kept(edges.where("a <> b"))
     n = start.count()
     if n <= one_task:
-        return start.select("a", "b").coalesce(1).mapInArrow(_one_task, "v long, root long")
+        # an exchange, not a coalesce: a lost executor's part of the edges is made again by many tasks
+        return start.select("a", "b").repartition(1).mapInArrow(_one_task, "v long, root long")
     edges = cut(start.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n)
     start.unpersist()
     before = None

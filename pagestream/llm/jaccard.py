@@ -16,16 +16,28 @@
    before the exchange into one representative and edges to it, so a signature that a third
    of all texts share costs a row for each task.  Each tile adds edges between the
    representatives of a signature: candidates, as stars, never all pairs.
-3. In each candidate component, texts are compared by a search that skips what is
-   already linked: size ratio, then hashed bitmaps (bits of one set missing in the other
-   bound the overlap from above), then exact intersection of the sorted arrays.
-   In components of more than ``COMPONENT_SHINGLES`` the candidate edges are verified one
-   by one; what lies outside the largest group so settled is compared with all of the
-   component, in blocks of bounded size and compatible sizes, pair by pair in tasks.
+3. Candidates are verified before components form.  Every class goes to the smallest class
+   that it shares a signature with (its centre); centres with many classes are cut into
+   chunks, each with the centre's text, so a family of thousands of near copies is dealt
+   to many tasks.  Inside a chunk all links are found: size ratio, then hashed bitmaps (bits
+   of one set missing in the other bound the overlap from above), then exact intersection
+   of sorted arrays.  Sets meet there only if they share one of their rarest shingles (a
+   linked pair must share one of the size - ceil(t * size) + 1 rarest in any common order),
+   so sets that share a signature without linking cost their own size, not their square.
+4. The verified links' components are the groups, except in a candidate component that
+   holds several groups and several chunks.  There each group but the largest is compared
+   with all of the component, in pairs of blocks of bounded and compatible sizes.  Where
+   the smaller groups are more than a block, the component is first divided by the rarest
+   shingles of its sets (counted in the component), which are dealt as units of their own,
+   so this work too follows the sets and not their pairs.
+
+Shingles are compared by 52 bits of their hashes: ``n_shingles`` and the test of a link
+are exact up to collisions, about one pair of shingles in 4.5e15.
 
 Defined results: texts without words have no shingles and are linked with nothing; equal
 sets always link; null ids take part in links but cannot be the smallest id of a group
-(a group of null ids only has a null component); an empty table gives no rows.
+(a group of null ids only has a null component); an empty table gives no rows.  Ids that
+are not whole numbers are an error.
 """
 
 from __future__ import annotations
@@ -34,15 +46,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from .common import cut, kept, small, small_batches
+from .common import kept, settled, small, small_batches
 from .components import connected_components
 from .textscan import HASH_BITS, SPACED, TEXT, Slice, mix, slices
 
-#: Shingles of a component that one task may hold (8 bytes each).
+#: Shingles (8 bytes each) of two blocks, which one task holds.
 COMPONENT_SHINGLES = 6_000_000
+#: Classes and shingles of a chunk of a centre, and classes of a block of a largest group and of other groups.
+CHUNK_SETS, CHUNK_SHINGLES = 256, 1_000_000
+MAIN_SETS, REST_SETS = 512, 4096
 #: Signatures that a task gathers before it combines and packs them.
 FLUSH = 800_000
 #: Signatures of a tile, about.
@@ -267,22 +283,50 @@ class _Sets:
         return others[np.concatenate(found)]
 
 
+def _prefixes(sets: _Sets, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The rarest shingles of each set that other sets have among theirs: (shingles, bounds by set, sets, bounds by shingle)."""
+    n, size = len(sets.sets), sets.size
+    every = np.concatenate(sets.sets) if n else np.zeros(0, dtype=np.uint64)
+    owner = np.repeat(np.arange(n), size)
+    _, token, count = np.unique(every, return_inverse=True, return_counts=True)
+    token = token[np.lexsort((token, count[token], owner))]
+    need = np.where(size > 0, size + 1 - -(-num * size // den), 0)
+    few = np.arange(len(every)) - np.repeat(np.cumsum(size) - size, size) < need[owner]
+    token, owner = token[few], owner[few]
+    shared = np.bincount(token, minlength=len(count))[token] > 1
+    token, owner = token[shared], owner[shared]
+    _, token = np.unique(token, return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    bound = np.searchsorted(token[order], np.arange(token.max() + 2 if len(token) else 1))
+    return token, np.searchsorted(owner, np.arange(n + 1)), owner[order], bound
+
+
 def _linked_groups(sets: _Sets, num: int, den: int, left: np.ndarray | None = None) -> np.ndarray:
     """Component of each text (the smallest index in it). With ``left``, only links between left and other texts matter."""
-    comp = np.full(len(sets.sets), -1)
-    rest = np.arange(len(comp))
+    token, of_set, holders, of_token = _prefixes(sets, num, den)
+    comp, new = np.full(len(sets.sets), -1), np.ones(len(sets.sets), dtype=bool)
+    shrunk: dict[int, np.ndarray] = {}  # holders that are in no component yet
     for seed in range(len(comp)):
         if comp[seed] >= 0:
             continue
-        comp[seed], todo = seed, [seed]
-        rest = rest[rest != seed]
-        while todo and len(rest):
+        comp[seed], new[seed], todo = seed, False, [seed]
+        while todo:
             i = todo.pop()
-            among = rest if left is None else rest[left[rest] != left[i]]
-            new = sets.linked(i, among, num, den)
-            comp[new] = seed
-            todo += new.tolist()
-            rest = rest[comp[rest] < 0]
+            among = []
+            for t in token[of_set[i] : of_set[i + 1]].tolist():
+                held = shrunk.get(t)
+                if held is None:
+                    held = holders[of_token[t] : of_token[t + 1]]
+                if len(held):
+                    shrunk[t] = held = held[new[held]]
+                    among.append(held)
+            others = np.unique(np.concatenate(among)) if among else holders[:0]
+            if left is not None:
+                others = others[left[others] != left[i]]
+            if len(others):
+                found = sets.linked(i, others, num, den)
+                comp[found], new[found] = seed, False
+                todo += found.tolist()
     return comp
 
 
@@ -310,6 +354,8 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     name the group's first row by id and text key.  Ids are whole numbers.
     """
     small_batches(documents.sparkSession)
+    if not isinstance(documents.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must hold whole numbers")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     docs = documents.select(F.col(f"`{id_col}`").cast("long").alias("id_key"), F.xxhash64(text).alias("text_key"), text.alias(TEXT))
     size, rows = documents.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string"))), F.count(F.lit(1))).first()
@@ -319,26 +365,22 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
 
     packed = scanned.where("kind = 1").select("tile", "body")
     near = packed.groupBy("tile").applyInArrow(_tile_edges, "a long, b long").unionAll(scanned.where("kind = 2").select("body").mapInArrow(_edge_rows, "a long, b long"))
-    near = kept(near.distinct())
-    near = cut(near, near.count())
+    near, _ = settled(near.distinct())
     candidates = kept(connected_components(near))
 
     # one row for each class from here on: copies are combined before any shuffle
     firsts = kept(members.where("n > 0").groupBy("cls", "n").agg(F.min(F.struct(F.col("id_key").isNull().alias("none"), "id_key", "text_key")).alias("first")))
     few = candidates.count()
     reps = firsts.join(small(candidates, few, 16), F.col("cls") == F.col("v"))
-    reps = kept(reps.select("cls", "root", "n", F.col("first.id_key").alias("r_id"), F.col("first.text_key").alias("r_key")))
-    sums = reps.groupBy("root").agg(F.sum("n").alias("held"))
-    texts = docs.join(small(reps, few, 40), (F.col("text_key") == F.col("r_key")) & F.col("id_key").eqNullSafe(F.col("r_id"))).select("root", "cls", "n", TEXT)
-    verify = _verified(k, num, den)
-    fitting = sums.where(F.col("held") <= component_shingles).select("root")
-    links = texts.join(small(fitting, few, 8), "root").groupBy("root").applyInArrow(verify, "a long, b long")
-    large = sums.where(F.col("held") > component_shingles).select("root", "held")
-    if not large.isEmpty():
-        links = links.unionAll(_large_links(texts, reps, near, large, k, num, den, component_shingles))
-        links = connected_components(links).select(F.col("v").alias("a"), F.col("root").alias("b"))
-    found = kept(links.select(F.col("a").alias("g_cls"), F.col("b").alias("g_root")))
-    groups = cut(found, found.count())  # counted first, so that the search keeps its tasks
+    reps, _ = settled(reps.select("cls", "root", "n", F.col("first.id_key").alias("r_id"), F.col("first.text_key").alias("r_key")))
+    search = _Search(docs, reps, few, k, num, den, component_shingles)
+    sure, chunks = search.in_chunks(near)
+    sure, _ = settled(sure)
+    groups, _ = settled(connected_components(sure))
+    more = search.across(groups, chunks)
+    if more is not None:
+        groups, _ = settled(connected_components(sure.unionAll(more)))
+    groups = groups.select(F.col("v").alias("g_cls"), F.col("root").alias("g_root"))
 
     placed = firsts.join(small(groups, few, 16), F.col("cls") == F.col("g_cls"), "left").select("cls", F.coalesce("g_root", "cls").alias("group"), "first")
     # of classes alone in their group the first is known; only linked classes meet again
@@ -355,47 +397,88 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     )
 
 
-def _pair_links(k: int, num: int, den: int):
-    """Those of the pairs of texts that link."""
-
-    def run(batches):
-        for batch in batches:
-            found = []
-            for i in range(0, len(batch), 512):
-                some = batch.slice(i, 512)
-                both = _Sets(pa.concat_arrays([some.column(2), some.column(3)]), k)
-                found += [i + j for j in range(len(some)) if len(both.linked(j, np.array([len(some) + j]), num, den))]
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(found, pa.int64())) for c in (0, 1)], names=["a", "b"])
-
-    return run
-
-
-def _large_links(texts: DataFrame, reps: DataFrame, near: DataFrame, large: DataFrame, k: int, num: int, den: int, component_shingles: int) -> DataFrame:
-    """Links of components too large for one task.
-
-    Candidate edges are verified one by one, which settles a family of near copies in
-    linear time.  What is then outside its component's largest settled group is compared
-    with everything in the component, in pairs of blocks of compatible sizes.
-    """
-    inside = reps.join(large.select("root"), "root").select("root", "cls", "n")
-    own = texts.select("cls", TEXT)
-    sides = near.join(inside.select(F.col("cls").alias("a")), "a").join(own.select(F.col("cls").alias("a"), F.col(TEXT).alias("a_text")), "a").join(own.select(F.col("cls").alias("b"), F.col(TEXT).alias("b_text")), "b")
-    sure = kept(sides.select("a", "b", "a_text", "b_text").mapInArrow(_pair_links(k, num, den), "a long, b long"))
-    settled = connected_components(sure).select(F.col("v").alias("cls"), F.col("root").alias("g"))
-    settled = kept(inside.join(settled, "cls", "left").withColumn("g", F.coalesce("g", "cls")))
-    main = settled.groupBy("root", "g").count().groupBy("root").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
-    marked = settled.join(main, "root").withColumns({"rest": F.col("g") != F.col("main"), "band": F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)))})
-    cells = marked.groupBy("root", "rest", "band").agg(F.ceil(F.sum("n") / F.lit(max(1, component_shingles // 2))).alias("parts"))
-    part = F.pmod(F.xxhash64("cls"), F.col("parts"))
-    blocks = kept(marked.join(cells, ["root", "rest", "band"]).select("root", "cls", "n", "rest", F.struct("rest", "band", part.alias("part")).alias("block")))
-    spans = blocks.groupBy("root", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    a, b = spans.where("block.rest").selectExpr("root", "block as one", "lo as a_lo", "hi as a_hi"), spans.selectExpr("root", "block as two", "lo as b_lo", "hi as b_hi")
-    fits = (F.col("a_hi") * den >= F.col("b_lo") * num) & (F.col("b_hi") * den >= F.col("a_lo") * num)
-    pairs = kept(a.join(b, "root").where(fits & (~F.col("two.rest") | (F.col("one") <= F.col("two")))).select("root", "one", "two"))
-    ends = pairs.select("root", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    sided = blocks.join(ends, ["root", "block"]).select("root", "one", "two", "cls", (F.col("block") == F.col("one")).alias("side"))
-    compared = own.join(sided, "cls").groupBy("root", "one", "two").applyInArrow(_verified(k, num, den), "a long, b long")
-    return sure.unionAll(compared)
+class _Search:
+    """Exact links among candidate classes: first in chunks around centres, then across what is left open."""
+
+    def __init__(self, docs: DataFrame, reps: DataFrame, few: int, k: int, num: int, den: int, shingles: int):
+        self.docs, self.reps, self.few, self.k, self.num, self.den, self.shingles = docs, reps, few, k, num, den, shingles
+
+    def _texts(self, assigned: DataFrame, rows: int) -> DataFrame:
+        """``assigned`` (cls, n and others; so many rows) with the classes' texts."""
+        found = assigned.join(small(self.reps.select("cls", "r_id", "r_key"), self.few, 24), "cls")
+        return self.docs.join(small(found, rows, 64), (F.col("text_key") == F.col("r_key")) & F.col("id_key").eqNullSafe(F.col("r_id"))).drop("id_key", "text_key", "r_id", "r_key")
+
+    def in_chunks(self, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Verified links of each chunk, and the chunks of each candidate component (root, centre, chunk)."""
+        sized = self.reps.select("cls", "root", "n")
+        stars = near.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("centre")).join(small(sized, self.few, 24), "cls")
+        stars = kept(stars.select("cls", "root", "n", "centre"))
+        cells = stars.groupBy("centre", "root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_SETS)), F.ceil(F.sum("n") / F.lit(min(CHUNK_SHINGLES, self.shingles)))).alias("chunks"))
+        cells = kept(cells)
+        dealt = stars.join(small(cells.select("centre", "chunks"), self.few, 16), "centre").select("cls", "centre", F.pmod(F.xxhash64("cls"), "chunks").alias("chunk"))
+        centres = cells.select(F.col("centre").alias("cls"), "centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+        texts = self._texts(dealt.unionAll(centres), 2 * self.few)
+        links = texts.groupBy("centre", "chunk").applyInArrow(_verified(self.k, self.num, self.den), "a long, b long")
+        return links, cells.select("root", "centre", "chunks")
+
+    def across(self, groups: DataFrame, chunks: DataFrame) -> DataFrame | None:
+        """Links between different groups of candidate components that several chunks hold; null where all is settled."""
+        many = chunks.groupBy("root").agg(F.sum("chunks").alias("chunks")).where("chunks > 1").select("root")
+        if many.isEmpty():
+            return None
+        inside = self.reps.join(small(many, self.few, 8), "root").select("root", "cls", "n")
+        named = inside.join(groups.select(F.col("v").alias("cls"), F.col("root").alias("g")), "cls", "left").withColumn("g", F.coalesce("g", "cls"))
+        unsettled = named.groupBy("root").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("root")
+        unsettled, sets = settled(named.join(small(unsettled, self.few, 8), "root"))
+        if not sets:
+            return None
+        main = unsettled.groupBy("root", "g").count().groupBy("root").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
+        marked = unsettled.join(small(main, self.few, 16), "root").select("root", "cls", "n", "g", (F.col("g") != F.col("main")).alias("rest"))
+        wide = marked.where("rest").groupBy("root").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sets")).where((F.col("n") > self.shingles // 2) | (F.col("sets") > REST_SETS)).select("root")
+        wide, found = settled(wide)
+        whole = marked.join(small(wide, self.few, 8), "root", "left_anti").withColumn("unit", F.struct("root", F.lit(0).cast("long").alias("token"))).drop("root")
+        if found:
+            whole = whole.unionByName(self._by_token(unsettled.join(small(wide, self.few, 8), "root")))
+        return self._in_blocks(settled(whole)[0])
+
+    def _by_token(self, sets: DataFrame) -> DataFrame:
+        """Units of the sets (root, cls, n, g) that have a shingle among their rarest, where more than one group does."""
+        k = self.k
+
+        def shingles(batches):
+            for batch in batches:
+                for i, j, part in slices(batch.column(batch.num_columns - 1)):
+                    text, h = part.words(SPACED, fold=True).shingles(k)
+                    rows = pa.array(i + text)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in range(4)), pa.array(h.astype(np.int64))], names=["root", "cls", "n", "g", "token"])
+
+        # repeated rows of a text give a shingle twice, which changes the order only
+        tokens = kept(self._texts(sets, self.few).dropDuplicates(["root", "cls"]).select("root", "cls", "n", "g", TEXT).mapInArrow(shingles, "root long, cls long, n long, g long, token long"))
+        counts = tokens.groupBy("root", "token").agg(F.count(F.lit(1)).alias("held"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("held > 1")
+        named = tokens.join(counts, ["root", "token"], "left")
+        rank = F.row_number().over(Window.partitionBy("root", "cls").orderBy(F.coalesce("held", F.lit(1).cast("long")), "token"))
+        prefix = F.col("n") + 1 - F.ceil(F.col("n") * self.num / self.den)
+        units = named.withColumn("rank", rank).where((F.col("rank") <= prefix) & (F.col("lo") < F.col("hi")))
+        units, _ = settled(units.select(F.struct("root", "token").alias("unit"), "cls", "n", "g"))
+        main = units.groupBy("unit", "g").count().groupBy("unit").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
+        return units.join(main, "unit").select("cls", "n", "g", (F.col("g") != F.col("main")).alias("rest"), "unit")
+
+    def _in_blocks(self, marked: DataFrame) -> DataFrame:
+        """Links of each unit's rest (cls, n, g, rest, unit) with all of the unit."""
+        marked = marked.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(self.den / self.num))))
+        sets = F.when(F.col("rest"), F.lit(REST_SETS)).otherwise(F.lit(MAIN_SETS))
+        parts = F.greatest(F.ceil(F.sum("n") / F.lit(max(1, self.shingles // 2))), F.ceil(F.count(F.lit(1)) / sets))
+        cells = marked.groupBy("unit", "rest", "band").agg(parts.alias("parts"))
+        part = F.pmod(F.xxhash64("cls"), F.col("parts"))
+        blocks = kept(marked.join(cells, ["unit", "rest", "band"]).select("unit", "cls", "n", F.struct("rest", "band", part.alias("part")).alias("block")))
+        spans = blocks.groupBy("unit", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        a, b = spans.where("block.rest").selectExpr("unit", "block as one", "lo as a_lo", "hi as a_hi"), spans.selectExpr("unit", "block as two", "lo as b_lo", "hi as b_hi")
+        fits = (F.col("a_hi") * self.den >= F.col("b_lo") * self.num) & (F.col("b_hi") * self.den >= F.col("a_lo") * self.num)
+        pairs = kept(a.join(b, "unit").where(fits & (~F.col("two.rest") | (F.col("one") <= F.col("two")))).select("unit", "one", "two"))
+        ends = pairs.select("unit", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+        sided, rows = settled(blocks.join(ends, ["unit", "block"]).select("unit", "one", "two", "cls", (F.col("block") == F.col("one")).alias("side")))
+        texts = self._texts(sided, rows)
+        return texts.groupBy("unit", "one", "two").applyInArrow(_verified(self.k, self.num, self.den), "a long, b long")
 
 
 def keep_first(documents: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,8 +1,10 @@
 """The document operators against plain Python, and on awkward rows."""
 
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,13 +75,50 @@ def test_decontamination_is_exact(spark):
         assert got == expected
 
 
-def test_jaccard_is_exact(spark):
+def test_jaccard_is_exact(spark, monkeypatch):
     docs = texts(150)
-    for k, num in ((3, 90), (5, 80), (2, 50)):
-        expected = brute.groups(docs, k, num, 100)
-        for limit in (jaccard.COMPONENT_SHINGLES, 150):  # in one task, and in pairs of blocks
-            found = jaccard.jaccard_groups(spark.createDataFrame(docs, "doc_id long, text string"), k, num, 100, component_shingles=limit)
-            assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == expected
+    # whole components in a chunk; small chunks and blocks; components divided by shingles
+    for k, num, limit, sets in ((3, 90, jaccard.COMPONENT_SHINGLES, 4096), (5, 80, 150, 4096), (2, 50, 600, 3), (3, 90, 150, 2)):
+        for name in ("REST_SETS", "MAIN_SETS", "CHUNK_SETS"):
+            monkeypatch.setattr(jaccard, name, sets)
+        found = jaccard.jaccard_groups(spark.createDataFrame(docs, "doc_id long, text string"), k, num, 100, component_shingles=limit)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute.groups(docs, k, num, 100)
+
+
+def short_sets(n):
+    """Texts of 12 three-word shingles, of which three are in all of them and the others in none besides."""
+    return ["the five words of all " + " ".join(f"w{i}x{j}" for j in range(9)) for i in range(n)]
+
+
+def test_sets_that_share_signatures_take_linear_time():
+    def seconds(n):
+        sets = jaccard._Sets(pa.array(short_sets(n)), 3)
+        began = time.process_time()
+        assert len(set(jaccard._linked_groups(sets, 90, 100).tolist())) == n
+        return time.process_time() - began
+
+    small, large = seconds(2500), seconds(20_000)
+    assert large < 24 * max(small, 0.02)  # pairs would take 64 times as long
+
+
+def test_many_sets_that_share_signatures(spark):
+    docs = spark.createDataFrame(list(enumerate(short_sets(20_000))), "doc_id long, text string").repartition(4)
+    found = jaccard.jaccard_groups(docs, 3, 90, 100)
+    assert found.where("component_id = doc_id and n_shingles = 12").count() == 20_000
+
+
+def test_families_are_dealt_in_chunks(spark):
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(100)]
+    docs = []
+    for i in range(1500):
+        words = list(base)
+        words[r.randrange(100)] = f"x{i}"
+        docs.append((i, " ".join(words)))
+    found = jaccard.jaccard_groups(spark.createDataFrame(docs, "doc_id long, text string"), 3, 90, 100).collect()
+    assert {r["component_id"] for r in found} == {0}
+    with pytest.raises(TypeError):
+        jaccard.jaccard_groups(spark.createDataFrame([("a", "b")], "doc_id string, text string"), 3, 90, 100)
 
 
 def test_one_of_each_group_stays(spark):
