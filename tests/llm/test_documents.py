@@ -1,5 +1,6 @@
 """The document operators against plain Python, and on awkward rows."""
 
+import pickle
 import random
 import time
 
@@ -56,7 +57,7 @@ def test_hashes_follow_the_bytes():
     assert wa.hash[2] == wb.hash[0] != wa.hash[0]
 
 
-def test_decontamination_is_exact(spark):
+def test_decontamination_is_exact(spark, monkeypatch):
     r = random.Random(1)
     items = [(i, " ".join(f"w{r.randint(0, 40)}" for _ in range(n))) for i, n in enumerate([1, 2, 5, 9, 10, 11, 30, 0])] + [(3, "another one entirely")]
     docs = []
@@ -67,11 +68,11 @@ def test_decontamination_is_exact(spark):
             w[at:at] = items[r.randrange(len(items))][1].split(" ")
         docs.append((i, "-".join(w)))
     expected = brute.contamination(docs, [(str(i), t) for i, t in items])
-    for limit in (dc.BLOCK_BYTES, 60):  # one pass, and several chained passes
-        dc.BLOCK_BYTES, old = limit, dc.BLOCK_BYTES
+    for limit, part in ((dc.BLOCK_BYTES, dc.ITEM_BYTES), (60, 20), (dc.BLOCK_BYTES, 20)):  # one pass, several chained passes, several slices
+        monkeypatch.setattr(dc, "BLOCK_BYTES", limit)
+        monkeypatch.setattr(dc, "ITEM_BYTES", part)
         found = dc.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
         got = {r["doc_id"]: (r["n_words"], r["n"], r["hit_items"]) for r in found.withColumn("n", dc.hit_words()).collect()}
-        dc.BLOCK_BYTES = old
         assert got == expected
 
 
@@ -85,6 +86,19 @@ def test_jaccard_is_exact(spark, monkeypatch):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute.groups(docs, k, num, 100)
 
 
+def test_patterns_are_compact():
+    """About three times the items' bytes, besides a shift table of 4 MB at most."""
+    r = random.Random(5)
+    items = [(str(i), " ".join(f"w{r.randrange(10**6)}" for _ in range(1000))) for i in range(520)]
+    size = sum(len(t) for _, t in items)
+    assert size > 4e6
+    patterns = dc.Patterns(iter(items), 10)
+    assert len(pickle.dumps(patterns)) < 3.5 * size + (4 << 20)
+    w = textscan.Slice.of(["x " + items[7][1] + " y"])
+    hits = {i for group in patterns.groups for _, i in group.find(w.words(textscan.ALNUM, fold=True), w.folded().tobytes(), patterns.text)}
+    assert hits == {7}
+
+
 def short_sets(n):
     """Texts of 12 three-word shingles, of which three are in all of them and the others in none besides."""
     return ["the five words of all " + " ".join(f"w{i}x{j}" for j in range(9)) for i in range(n)]
