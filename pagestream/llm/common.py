@@ -15,21 +15,38 @@ BROADCAST_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), one of our own."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset and the session is local (tests), one of our own."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(found)
         return found
     if not (own := spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the executors share")
         spark.sparkContext.setCheckpointDir(own := tempfile.mkdtemp(prefix="pagestream-"))
     return own
 
 
+#: What this session keeps: tables in the shared folder, and tables on executors' disks.
+_tables: list[str] = []
+_kept: list[DataFrame] = []
+
+
+def released(spark: SparkSession) -> None:
+    """Drop every intermediate table of this session, once no result that reads them is needed any more."""
+    for df in _kept:
+        df.unpersist()
+    for path in list(_tables):
+        dropped(spark, path)
+    _kept.clear()
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` as a Parquet table in the shared folder: lineage is cut, a lost executor costs only its running tasks."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -38,6 +55,8 @@ def dropped(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _tables:
+        _tables.remove(path)
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -45,7 +64,8 @@ def kept(df: DataFrame) -> DataFrame:
 
     Its lineage stays: what a lost executor held is computed again.
     """
-    return df.persist(StorageLevel.DISK_ONLY)
+    _kept.append(df.persist(StorageLevel.DISK_ONLY))
+    return _kept[-1]
 
 
 #: Bytes of an Arrow batch between the JVM and Python: both sides hold a few of them for each task.

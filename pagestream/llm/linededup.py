@@ -6,14 +6,15 @@ In a leaf that several different lines reach, each further position has a domina
 token; a line that agrees with at least ``AGREE`` percent of the leaf's dominant tokens
 (leading tokens included) takes the leaf's template, in which the other positions are
 variable.  Any other line is its own template.  Templates found in ``MIN_TEXTS`` or more
-different texts are dropped from all of them.  Lines of fewer than ``MIN_TOKENS`` tokens
-stay by default, as in ``LINES_SQL``; with ``short_texts`` they are dropped too, each by
-its masked line, where that is found in so many different texts.  Blank lines stay.
+different texts are dropped from all of them.  A line of fewer than ``MIN_TOKENS`` tokens
+has too few for a template besides its own masked line, and short lines recur by chance:
+it is dropped where that line is found in ``SHORT_TEXTS`` or more different texts.  Blank
+lines stay.
 
 Copies of a document count as one text: they are a matter for document dedup, and their
 lines do not become boilerplate by them.  A line is parsed once; the parsed lines are a
-table in the shared folder whose columns later steps read as they need.  Distinct texts
-are counted after partial aggregation, so a line in a third of all texts is a few rows
+table in the shared folder whose columns later steps read as they need, removed once the
+lines to drop are known.  Texts are told apart by hash and length.  Distinct texts are counted after partial aggregation, so a line in a third of all texts is a few rows
 for each task.
 
 Defined results: a null text stays null, with no lines; an empty text has one empty line,
@@ -27,12 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, small, written
+from .common import dropped, kept, small, written
 
 LEAD = 3
 AGREE = 60
 MIN_TEXTS = 3
 MIN_TOKENS = 4
+SHORT_TEXTS = 10
 FIELD = "<*>"
 
 
@@ -44,12 +46,12 @@ def _masked(line: Column) -> Column:
 
 
 def parsed_lines(texts: DataFrame, text_col: str) -> DataFrame:
-    """key (of the text), pos, size (tokens), leaf, line (hashes) and masked of every line."""
-    keyed = texts.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    lines = keyed.select("key", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("key", "pos", _masked(F.col("raw")).alias("masked"))
+    """key and bytes (of the text), pos, size (tokens), leaf, line (hashes) and masked of every line."""
+    keyed = texts.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("key"), F.octet_length(text_col).alias("bytes"), F.col(text_col).alias("text"))
+    lines = keyed.select("key", "bytes", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("key", "bytes", "pos", _masked(F.col("raw")).alias("masked"))
     size = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     lines = lines.withColumn("size", size)
-    return lines.select("key", "pos", "size", F.xxhash64("size", F.substring_index("masked", " ", LEAD)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
+    return lines.select("key", "bytes", "pos", "size", F.xxhash64("size", F.substring_index("masked", " ", LEAD)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
 
 def _generalised(lines: DataFrame, distinct: DataFrame, agree: int, min_texts: int) -> DataFrame:
@@ -61,44 +63,51 @@ def _generalised(lines: DataFrame, distinct: DataFrame, agree: int, min_texts: i
     shared = kept(shared.groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("masked").alias("masked")))
     tokens = shared.select("leaf", F.posexplode(F.split("masked", " ")).alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
     best = tokens.groupBy("leaf", "at").agg(F.min(F.struct((-F.col("n")).alias("less"), "token"))["token"].alias("token"))
-    dominant = best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("dominant"))
+    dominant = kept(best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]).alias("dominant")))
     same = F.size(F.filter(F.zip_with(F.split("masked", " "), F.col("dominant"), lambda a, b: a == b), lambda x: x))
-    return shared.join(small(dominant, n, 512), "leaf").where(same * 100 >= F.size("dominant") * agree).select(F.col("line").alias("g_line"), F.col("leaf").alias("g_leaf"))
+    return shared.join(_counted(dominant, F.octet_length(F.array_join("dominant", "")) + 24 * F.size("dominant")), "leaf").where(same * 100 >= F.size("dominant") * agree).select(F.col("line").alias("g_line"), F.col("leaf").alias("g_leaf"))
 
 
-def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int | None = None) -> DataFrame:
-    """key, positions: the lines (from 0, sorted) of each text that are to be dropped."""
-    parsed, _ = written(parsed_lines(texts, text_col), "lines")
+def _counted(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """A kept table, marked for broadcast if the bytes of its rows were counted and fit."""
+    return small(df, int(df.agg(F.sum(row_bytes + 32)).first()[0] or 0), 1)
+
+
+def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int = SHORT_TEXTS) -> DataFrame:
+    """key, bytes, positions: the lines (from 0, sorted) of each text that are to be dropped, as a table."""
+    parsed, path = written(parsed_lines(texts, text_col), "lines")
     lines = parsed.where(F.col("size") >= MIN_TOKENS)
-    once = lines.groupBy("leaf", "line", "key").agg(F.count(F.lit(1)).alias("n"))
+    once = lines.groupBy("leaf", "line", "key", "bytes").agg(F.count(F.lit(1)).alias("n"))
     distinct = kept(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts")))
     general = kept(_generalised(lines, distinct, agree, min_texts))
     n = general.count()
     # a leaf's template is told from a line by its sign bit, kept apart by the second column
     template = lambda df: df.join(small(general, n, 16), F.col("line") == F.col("g_line"), "left").withColumns({"general": F.col("g_line").isNotNull(), "template": F.coalesce("g_leaf", "line")})
     alone = distinct.join(small(general, n, 16), F.col("line") == F.col("g_line"), "left_anti").where(F.col("texts") >= min_texts).select(F.col("line").alias("r_template"), F.lit(False).alias("r_general"))
-    grouped = lines.select("line", "key").join(small(general, n, 16), F.col("line") == F.col("g_line")).select("g_leaf", "key").distinct().groupBy("g_leaf").count()
+    grouped = lines.select("line", "key", "bytes").join(small(general, n, 16), F.col("line") == F.col("g_line")).select("g_leaf", "key", "bytes").distinct().groupBy("g_leaf").count()
     grouped = grouped.where(F.col("count") >= min_texts).select(F.col("g_leaf").alias("r_template"), F.lit(True).alias("r_general"))
     recurring = alone.unionAll(grouped)
-    if short_texts is not None:
-        # a short line is alone in its leaf but for masked copies
-        short = parsed.where((F.col("size") < MIN_TOKENS) & (F.col("masked") != ""))
-        often = short.select("line", "key").distinct().groupBy("line").count().where(F.col("count") >= short_texts)
-        recurring = recurring.unionAll(often.select("line", F.lit(False)))
-        lines = parsed.where(F.col("masked") != "")
-    recurring = kept(recurring)
-    named = template(lines.select("key", "pos", "line"))
+    # a short line is alone in its leaf but for masked copies
+    short = parsed.where((F.col("size") < MIN_TOKENS) & (F.col("masked") != ""))
+    often = short.select("line", "key", "bytes").distinct().groupBy("line").count().where(F.col("count") >= short_texts)
+    recurring = kept(recurring.unionAll(often.select("line", F.lit(False))))
+    named = template(parsed.where(F.col("masked") != "").select("key", "bytes", "pos", "line"))
     gone = named.join(small(recurring, recurring.count(), 16), (F.col("template") == F.col("r_template")) & (F.col("general") == F.col("r_general")), "left_semi")
-    return gone.groupBy("key").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    found, _ = written(gone.groupBy("key", "bytes").agg(F.sort_array(F.collect_set("pos")).alias("positions")), "gone")
+    for table in (recurring, general, distinct):
+        table.unpersist()
+    dropped(texts.sparkSession, path)
+    return found
 
 
-def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int | None = None) -> DataFrame:
+def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int = SHORT_TEXTS) -> DataFrame:
     """All columns, the text without its recurring lines, with ``n_lines`` and ``n_dropped``."""
     columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped") or c == text_col]
     own = documents.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     text = f"__c{columns.index(text_col)}"
-    gone = kept(recurring_lines(own.select(text), text, agree, min_texts, short_texts).withColumnsRenamed({"key": "__key", "positions": "__gone"}))
-    joined = own.join(small(gone, gone.count(), 64), F.xxhash64(text) == F.col("__key"), "left")
+    gone = recurring_lines(own.select(text), text, agree, min_texts, short_texts).withColumnsRenamed({"key": "__key", "bytes": "__bytes", "positions": "__gone"})
+    same = (F.xxhash64(text) == F.col("__key")) & (F.octet_length(text) == F.col("__bytes"))
+    joined = own.join(_counted(gone, 4 * F.size("__gone")), same, "left")
     lines = F.split(F.col(text), "\n")
     left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n"))
     shown = [left.alias(c) if c == text_col else F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)]
@@ -125,7 +134,10 @@ general as (select ts, size, lead from agreeing where same * 100 >= size * {AGRE
 templated as (select l.text, l.pos, l.ts, l.size, l.lead, g.ts is not null as general, case when g.ts is null then l.ts end as own from lines l left join general g on l.ts = g.ts),
 recurring as (select general, size, lead, own from templated group by all having count(distinct text) >= {MIN_TEXTS}),
 gone as (select t.text, t.pos from templated t join recurring r on t.general = r.general and t.size = r.size and t.lead = r.lead and t.own is not distinct from r.own),
+short as (select text, pos, ts from tokens where len(ts) < {MIN_TOKENS} and ts <> ['']),
+often as (select ts from short group by ts having count(distinct text) >= {SHORT_TEXTS}),
+gone_too as (select text, pos from gone union all select s.text, s.pos from short s join often using (ts)),
 left_over as (select r.text, coalesce(string_agg(case when g.pos is null then r.l end, chr(10) order by r.pos), '') as kept, count(g.pos) as n_dropped, count(*) as n_lines
-  from raw r left join gone g on r.text = g.text and r.pos = g.pos group by r.text)
+  from raw r left join gone_too g on r.text = g.text and r.pos = g.pos group by r.text)
 select d.doc_id, k.kept as text, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_dropped, 0) as n_dropped from documents d left join left_over k on d.text = k.text
 """
