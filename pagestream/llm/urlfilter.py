@@ -2,8 +2,8 @@
 
 Everything runs on DataFrame functions.  The features of a URL are the character n-grams
 of its host and of its path (marked apart), hashed by crc32 into ``BUCKETS`` signed by
-count.  The model is fitted by full-batch gradient descent, itself DataFrame
-aggregations over a small labelled table (a built-in one, or a table of the caller with
+count.  The model is fitted by full-batch gradient descent, itself one DataFrame
+expression over a small labelled table (a built-in one, or a table of the caller with
 columns url and label); its weights become a constant array in the scoring
 expression, so scoring is one narrow pass.
 
@@ -15,7 +15,7 @@ rows are judged alike; other columns are ignored.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,25 +97,43 @@ def training_table(spark: SparkSession) -> DataFrame:
 
 
 def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", rounds: int = ROUNDS) -> list[float]:
-    """Weights of the buckets; ``labelled`` is small (it is read by one task).
+    """Weights of the buckets; ``labelled`` is small (one task gathers it and goes all rounds).
 
-    Each round is one aggregation, the gradient of the mean logistic loss by bucket, and
-    a step with Nesterov's momentum.  There is no intercept, so a URL without features has
-    probability 0.5 and is allowed.
+    Each round adds the gradient of the mean logistic loss by bucket, with Nesterov's
+    momentum; the rounds are one aggregate expression over the gathered rows, so fitting is
+    one job.  There is no intercept, so a URL without features has probability 0.5 and is
+    allowed.
     """
     base = _prepared(labelled.where(F.col(label_col).isNotNull()), url_col)
-    known = kept(base.select(F.col(label_col).cast("double").alias("y"), gram_buckets(F.col("__host"), F.col("__path")).alias("g"))).coalesce(1)
-    n = known.count()
-    w = [0.0] * BUCKETS
-    ahead = list(w)
-    for _ in range(rounds if n else 0):
-        scored = known.withColumn("e", F.col("y") - _probability(F.col("g"), ahead))
-        share = F.col("e") / F.greatest(F.sqrt(F.size("g").cast("double")), F.lit(1.0))
-        gradient = dict(scored.select(F.explode("g").alias("k"), share.alias("s")).groupBy("k").agg(F.sum("s")).collect())
-        new = [a + STEP * (gradient.get(k, 0.0) / n - DECAY * a) for k, a in enumerate(ahead)]
-        ahead = [x + MOMENTUM * (x - old) for x, old in zip(new, w, strict=True)]
-        w = new
-    return w
+    known = base.select(F.struct(F.col(label_col).cast("double").alias("y"), gram_buckets(F.col("__host"), F.col("__path")).alias("g")).alias("r"))
+    rows = kept(known.agg(F.sort_array(F.collect_list("r")).alias("rows")).withColumn("one", F.lit(1)))
+    # the rows that hold each bucket, as often as they do
+    held = rows.select(F.posexplode("rows").alias("i", "r")).select("i", F.explode("r.g").alias("k")).groupBy("k").agg(F.sort_array(F.collect_list("i")).alias("i"))
+    held = held.agg(F.map_from_entries(F.collect_list(F.struct("k", "i"))).alias("held")).withColumn("one", F.lit(1))
+    buckets = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
+    both = rows.join(held, "one").withColumn("holders", F.transform(buckets, lambda k: F.coalesce(F.try_element_at("held", k), F.array().cast("array<int>"))))
+
+    def let(value: Column, body: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def one_round(state: Column, _: Column) -> Column:
+        w, ahead, n = state["w"], state["ahead"], F.greatest(F.size("rows"), F.lit(1))
+
+        def error(r: Column) -> Column:
+            scale = 1 / F.greatest(F.sqrt(F.size(r["g"]).cast("double")), F.lit(1.0))
+            total = F.aggregate(r["g"], F.lit(0.0), lambda acc, k: acc + F.get(ahead, k))
+            return (r["y"] - 1 / (1 + F.exp(-total * scale))) * scale
+
+        def moved(errors: Column) -> Column:
+            gradient = lambda held_by: F.aggregate(held_by, F.lit(0.0), lambda acc, i: acc + F.get(errors, i)) / n
+            new = F.transform("holders", lambda held_by, k: F.get(ahead, k) + STEP * (gradient(held_by) - DECAY * F.get(ahead, k)))
+            return let(new, lambda x: F.struct(x.alias("w"), F.transform(x, lambda v, k: v + MOMENTUM * (v - F.get(w, k))).alias("ahead")))
+
+        return let(F.transform("rows", error), moved)
+
+    zero = F.array_repeat(F.lit(0.0), BUCKETS)
+    done = both.select(F.aggregate(F.sequence(F.lit(1), F.lit(max(rounds, 1))), F.struct(zero.alias("w"), zero.alias("ahead")), one_round)["w"].alias("w")).first()
+    return list(done["w"]) if rounds > 0 else [0.0] * BUCKETS
 
 
 def _probability(grams: Column, w: Sequence[float]) -> Column:
