@@ -62,7 +62,7 @@ def _placed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: flo
     sized = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"))
     sized = kept(sized.withColumn("key", random_key(F.col("doc_id"), F.col("size"), seed)))
     targets = kept(source_targets(sized, weights, share, max_repeats).withColumns({"budget": F.round("target").cast("long"), "ranges": F.ceil(F.sqrt("n_docs")).cast("long")}))
-    t = targets.withColumnRenamed("source", "t_source")
+    t = small(targets.withColumnRenamed("source", "t_source"), targets.count(), 128)
     ranged = sized.join(t, sized["source"].eqNullSafe(t["t_source"])).drop("t_source").withColumn("range", F.floor(F.col("key") / F.lit(float(1 << 52)) * F.col("ranges")))
     inner = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     running = ranged.withColumn("upto", F.sum("size").over(inner))

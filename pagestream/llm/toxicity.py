@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept
+from .common import kept, small
 from .textscan import ALNUM, HASH_BITS, TEXT, Slice, Words, annotate, byte_class, mix, slices
 
 #: Bound on the expected number of labelled rows that training reads.
@@ -86,7 +86,8 @@ class Lexicon:
             some = np.flatnonzero(self.maybe[(keys >> np.uint64(HASH_BITS - 16)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.keys, keys[some]), max(len(self.keys) - 1, 0))
             hit = self.keys[at] == keys[some] if len(self.keys) else np.zeros(len(some), dtype=bool)
-            np.maximum.at(out, words[some[hit]], self.weights[at[hit]])
+            word = words[some[hit]]  # a word once in each kind
+            out[word] = np.maximum(out[word], self.weights[at[hit]])
         return out
 
 
@@ -180,10 +181,10 @@ class Trees:
 
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: increasing (score, probability) knots."""
-    order = np.argsort(score, kind="stable")
+    at, inverse, count = np.unique(score, return_inverse=True, return_counts=True)  # equal scores are one block
     blocks: list[list[float]] = []  # sum of y, weight, sum of scores
-    for s, v in zip(score[order].tolist(), y[order].tolist(), strict=True):
-        blocks.append([v, 1.0, s])
+    for s, v, n in zip(at.tolist(), np.bincount(inverse, weights=y).tolist(), count.tolist(), strict=True):
+        blocks.append([v, float(n), s * n])
         while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
             last = blocks.pop()
             blocks[-1] = [a + b for a, b in zip(blocks[-1], last, strict=True)]
@@ -214,6 +215,8 @@ def _doc_frequencies(batches):
             pair = np.unique(pair)
             keys.append(pair & np.uint64((1 << HASH_BITS) - 1))
             marks.append(toxic[i:j][(pair >> np.uint64(HASH_BITS)).astype(np.int64)])
+        if not keys:
+            continue
         key, at = np.unique(np.concatenate(keys), return_inverse=True)
         mark = np.concatenate(marks)
         a, b = np.bincount(at, weights=mark, minlength=len(key)), np.bincount(at, weights=1 - mark, minlength=len(key))
@@ -230,7 +233,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     draw = F.pmod(F.xxhash64(F.lit("toxic"), "id"), F.lit(1_000_003)) / 1_000_003.0
     picked = known.where(draw < min(1.0, rows / total)).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(10)))
     texts = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    sample = kept(texts.join(F.broadcast(picked), F.col("doc") == F.col("id")).select(F.coalesce("text", F.lit("")).alias(TEXT), F.col("label").cast("double").alias("label"), "part"))
+    picked = kept(picked)
+    sample = kept(texts.join(small(picked, picked.count(), 32), F.col("doc") == F.col("id")).select(F.coalesce("text", F.lit("")).alias(TEXT), F.col("label").cast("double").alias("label"), "part"))
     seen = sample.where("part < 5").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).first()
     a, b = seen["a"] or 0.0, seen["b"] or 0.0
     counts = sample.where("part < 5").select(TEXT, "label").mapInArrow(_doc_frequencies, "key long, a long, b long").groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))

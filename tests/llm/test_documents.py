@@ -1,7 +1,9 @@
 """The document operators against plain Python, and on awkward rows."""
 
+import math
 import pickle
 import random
+import re
 import time
 
 import numpy as np
@@ -198,6 +200,53 @@ def test_shards_are_a_permutation(spark):
     assert [x["doc_id"] for x in sorted(got, key=lambda x: (x["shard"], x["slot"]))][:20] != list(range(20))
 
 
+def test_places_match_plain_fisher_yates(spark):
+    rows = [(i, f"text {i % 37}", "s") for i in range(400)] + [(None, "n", "s"), (5, None, "s"), (None, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    limit, shards = 700, 5
+    size = lambda t: len((t or "").encode()) + 1
+    buckets = -(-sum(size(t) for _, t, _ in rows) // limit)
+    key = F.xxhash64(F.lit(shard.SEED), "doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull())
+    keyed = [(r["k"] % buckets, r["k"], (r["doc_id"], r["text"])) for r in docs.select("doc_id", "text", key.alias("k")).collect()]
+    order = []
+    for b in range(buckets):
+        inside = sorted((x for x in keyed if x[0] == b), key=lambda x: x[1])
+        perm = np.random.Generator(np.random.PCG64([shard.SEED, b])).permutation(len(inside))
+        order += [row for _, row in sorted(zip(perm.tolist(), [x[2] for x in inside], strict=True), key=lambda x: x[0])]
+    sizes = [len(rows) // shards + (k < len(rows) % shards) for k in range(shards)]
+    bounds = np.cumsum([0, *sizes])
+    expected = {row: (k, i) for k in range(shards) for i, row in enumerate(order[bounds[k] : bounds[k + 1]])}
+    got = {(r["doc_id"], r["text"]): (r["shard"], r["slot"]) for r in shard.assign_shards(docs, shards, bucket_bytes=limit).collect()}
+    assert got == expected
+
+
+def test_copies_are_dealt_over_buckets(spark):
+    rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same text in all of them").alias("text"), F.lit("s").alias("source"))
+    rows = rows.unionAll(spark.range(500).select("id", F.concat(F.lit("t"), "id"), F.lit("s")))
+    placed = shard.assign_shards(rows, 4, bucket_bytes=50_000)
+    partition = placed.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert max(r["count"] for r in partition) < 0.5 * 20_500
+    got = placed.collect()
+    assert len(got) == 20_500
+    for k in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == k) == list(range(5125))
+
+
+def test_nothing_is_left_behind(spark, sf):
+    from pathlib import Path
+
+    from pagestream.llm import common
+    from pagestream.llm import queries as q
+
+    for name in ("op7_line_dedup", "op8_shard", "op9_quality"):
+        q.queries()[name](spark, sf).count()
+    common.released(spark)
+    left = [p for p in Path(common.shared_folder(spark)).iterdir() if p.name.startswith(("lines", "gone"))]
+    assert not left
+    assert not common._tables
+    assert not common._kept
+
+
 def test_written_shards_come_back(spark, tmp_path):
     docs = spark.range(100).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
     shard.write_shards(docs, str(tmp_path / "s"), 3)
@@ -223,6 +272,14 @@ def test_linked_short_sets_share_a_signature():
         assert all(have[d] & have[d + 1] for d in range(0, 800, 2))
 
 
+def test_long_leaves_and_clashing_columns(spark):
+    long = " ".join(f"token{i}" for i in range(20_000))
+    docs = [(i, f"same three lead {long} {'abcdef'[i]}\nown {'q' * i} words of this text", "x") for i in range(6)]
+    found = linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string, n_lines string").withColumn("n_dropped", F.lit("clash")).withColumn("key", F.lit(1)))
+    assert found.columns == ["doc_id", "text", "key", "n_lines", "n_dropped"]
+    assert all(r["n_dropped"] == 1 and r["n_lines"] == 2 and r["text"].startswith("own") for r in found.collect())
+
+
 def test_short_lines_recur(spark):
     docs = [(i, f"only text {'abcdef'[i]} says this {'q' * i}\n\nAll rights  reserved.\nPage {i}\n{'rare' if i < 3 else 'r' * i}") for i in range(6)]
     docs = spark.createDataFrame(docs, "doc_id long, text string")
@@ -324,6 +381,49 @@ def test_toxicity_ranks(spark):
     assert np.mean([(x["doc_id"] % 4 == 0) == (x["predicted"] == 1) for x in got]) > 0.97
 
 
+def plain_features(text, learned):
+    """The dense features by plain Python; ``learned`` gives a word's weight."""
+    raw = (text or "").encode()
+    words = [(m[0], m.start()) for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", raw)]
+    low = [w.translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).decode(errors="replace") for w, _ in words]
+    weight, abuse, second = [learned(w) for w in low], [w in toxicity.ABUSE for w in low], [w in toxicity.SECOND_PERSON for w in low]
+    strong = [a or b > 0 for a, b in zip(abuse, weight, strict=True)]
+    near = [s and any(second[j] for j in range(max(0, i - toxicity.NEAR), min(len(low), i + toxicity.NEAR + 1))) for i, s in enumerate(strong)]
+    n, size = max(len(low), 1), max(len(raw), 1)
+    count = lambda pattern: len(re.findall(pattern, raw))
+    run = sum(raw[i] == raw[i - 1] == raw[i - 2] and chr(raw[i]).isascii() and chr(raw[i]).isalpha() for i in range(2, len(raw)))
+    mixed = sum(bool(re.search(rb"[0-9]", w)) and len(re.findall(rb"[A-Za-z]", w)) > 1 for w, _ in words)
+    return [
+        math.log1p(len(low)), sum(abuse) / n, math.log1p(sum(abuse)), sum(weight) / n, max([0.0, *weight]), math.log1p(sum(x > 0 for x in weight)),
+        sum(near) / max(sum(strong), 1), sum(second) / n, count(rb"[A-Z]") / max(count(rb"[A-Za-z]"), 1), sum(re.fullmatch(rb"[A-Z]{3,}", w) is not None for w, _ in words) / n,
+        count(rb"!") / size, count(rb"\?") / size, count(rb"[#*$%&|<>@^~]") / size, mixed / n, run / size,
+    ]
+
+
+def test_features_match_plain_python():
+    stem = toxicity.mix(textscan.Slice.of(["grum"]).words(textscan.ALNUM).hash + np.uint64(4 << 8)) >> np.uint64(12)
+    word = toxicity.mix(textscan.Slice.of(["stone"]).words(textscan.ALNUM).hash + np.uint64(1)) >> np.uint64(12)
+    lexicon = toxicity.Lexicon(np.concatenate([stem, word]), np.array([3.0, 2.5]))
+    learned = lambda w: 3.0 if w.startswith("grum") and len(w) > 4 else 2.5 if w == "stone" else 0.0
+    r = random.Random(9)
+    vocab = ["the", "You", "YOUR", "idiot", "Grumble", "grum", "stone", "b4d", "soooo", "WHY??", "no!", "#@$", "tú", "ÀB", "x1", "u", "DUMB", "\n", "a b"]
+    texts = [None, "", "!!!", "you"] + [" ".join(r.choice(vocab) for _ in range(r.randint(1, 60))) for _ in range(60)]
+    got = toxicity.features(textscan.Slice.of(texts), lexicon)
+    for text, row in zip(texts, got.tolist(), strict=True):
+        assert row == pytest.approx(plain_features(text, learned)), text
+
+
+def test_one_class_and_ties(spark):
+    docs = spark.createDataFrame([(i, "the very same words") for i in range(40)], "doc_id long, text string")
+    for label in (0, 1):
+        labels = spark.createDataFrame([(i, label) for i in range(40)], "doc_id long, toxic int")
+        scores = {r["score"] for r in toxicity.score(docs, toxicity.train(docs, labels), ["doc_id"]).collect()}
+        assert len(scores) == 1
+        assert (scores.pop() >= 0.5) == (label == 1)
+    s, p = toxicity.isotonic(np.zeros(10), np.arange(10) % 2.0)
+    assert len(s) == len(p) == 1
+
+
 def test_trees_and_isotonic():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 3))

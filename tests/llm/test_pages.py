@@ -1,8 +1,10 @@
 """URL filters and HTML extraction."""
 
 import html
+import math
 import re
 import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +30,47 @@ def test_rules_and_parts(spark, weights):
         assert verdict is None or got[i]["verdict"] == verdict, rows[i]
 
 
+def plain_grams(url):
+    """Buckets by plain Python: n-grams of ^host$ and of the path."""
+    rest = url.split("://", 1)[1] if "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = host.translate({i: i + 32 for i in range(65, 91)})
+    grams = [("h", f"^{host}$", n) for n in urlfilter.HOST_GRAMS] + [("p", path, n) for n in urlfilter.PATH_GRAMS]
+    return [zlib.crc32((mark + text[i : i + n]).encode()) % urlfilter.BUCKETS for mark, text, n in grams for i in range(len(text) - n + 1)]
+
+
+def plain_fit(rows, rounds):
+    w = [0.0] * urlfilter.BUCKETS
+    ahead = list(w)
+    grams = [(plain_grams(u), y) for u, y in rows]
+    for _ in range(rounds):
+        gradient = [0.0] * len(w)
+        for g, y in grams:
+            scale = 1 / max(1.0, math.sqrt(len(g)))
+            error = y - 1 / (1 + math.exp(-scale * sum(ahead[k] for k in g)))
+            for k in g:
+                gradient[k] += error * scale / len(rows)
+        new = [a + urlfilter.STEP * (d - urlfilter.DECAY * a) for a, d in zip(ahead, gradient, strict=True)]
+        ahead = [x + urlfilter.MOMENTUM * (x - old) for x, old in zip(new, w, strict=True)]
+        w = new
+    return w
+
+
+def test_regression_matches_plain_python(spark):
+    table = urlfilter.training_table(spark)
+    rows = [(r["url"], r["label"]) for r in table.collect()]
+    assert urlfilter.fit(table, rounds=6) == pytest.approx(plain_fit(rows, 6), abs=1e-9)
+    weights = plain_fit(rows, urlfilter.ROUNDS)
+    urls = ["http://casino-Win.example.com/Ü/1", "https://museum.example.org/en/7", "no scheme", "http://" + "long-host." * 3000 + "com/" + "x/" * 9000, "http://a.b/c", "http://a.b/c"]
+    got = urlfilter.judge_urls(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string"), weights, ["page_id"], rules=())
+    for r in got.collect():
+        g = plain_grams(urls[r["page_id"]])
+        p = 1 / (1 + math.exp(-sum(weights[k] for k in g) / max(1.0, math.sqrt(len(g)))))
+        assert r["probability"] == pytest.approx(p)
+        assert r["verdict"] == ("block" if p > 0.5 else "allow")
+
+
 def test_regression_generalises(spark, weights):
     df = spark.createDataFrame([("https://win-casino-bonus.example.com/en/12", 1), ("http://www.cheap-viagra-pills.example.org/de/9.html", 1), ("https://history-library.example.com/en/4", 0), ("http://m.readings.example.org/es/4", 0)], "url string, label int")
     assert all((r["verdict"] == "block") == (r["label"] == 1) for r in urlfilter.judge_urls(df, weights, ["label"], rules=()).collect())
