@@ -18,14 +18,13 @@ but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagestream.llm import decontaminate, jaccard, langid, mix, shard
-from pagestream.llm.common import shared_folder
+from pagestream.llm.common import dropped, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHARDS = 8
@@ -70,13 +69,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    at = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; each result is written to the shared folder, read again, and removed after the next."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
             return out
-        out.write.parquet(f"{at}/{name}")
-        docs = spark.read.parquet(f"{at}/{name}")
+        docs, path = written(out, f"pipeline-{name}")
+        if before:
+            dropped(spark, before)
+        before = path
     return docs
