@@ -58,7 +58,7 @@ from .textscan import HASH_BITS, SPACED, TEXT, Slice, mix, slices
 COMPONENT_SHINGLES = 6_000_000
 #: Classes and shingles of a chunk of a centre, and classes of a block of a largest group and of other groups.
 CHUNK_SETS, CHUNK_SHINGLES = 256, 1_000_000
-MAIN_SETS, REST_SETS = 512, 4096
+MAIN_SETS, REST_SETS = 512, 512
 #: Signatures that a task gathers before it combines and packs them.
 FLUSH = 800_000
 #: Signatures of a tile, about.
@@ -411,7 +411,11 @@ class _Search:
     def in_chunks(self, near: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Verified links of each chunk, and the chunks of each candidate component (root, centre, chunk)."""
         sized = self.reps.select("cls", "root", "n")
-        stars = near.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("centre")).join(small(sized, self.few, 24), "cls")
+        stars = near.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("centre"))
+        # a class that is the smallest of its signatures goes with those it shares them with, unless it is their centre
+        heads = near.join(small(stars.select(F.col("cls").alias("a"), "centre"), self.few, 16), "a").groupBy(F.col("b").alias("cls")).agg(F.min("centre").alias("centre"))
+        heads = heads.where("cls <> centre").join(small(stars.select("cls"), self.few, 8), "cls", "left_anti")
+        stars = stars.unionByName(heads).join(small(sized, self.few, 24), "cls")
         stars = kept(stars.select("cls", "root", "n", "centre"))
         cells = stars.groupBy("centre", "root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_SETS)), F.ceil(F.sum("n") / F.lit(min(CHUNK_SHINGLES, self.shingles)))).alias("chunks"))
         cells = kept(cells)

@@ -137,6 +137,19 @@ def test_families_are_dealt_in_chunks(spark):
         jaccard.jaccard_groups(spark.createDataFrame([("a", "b")], "doc_id string, text string"), 3, 90, 100)
 
 
+def test_every_candidate_meets_its_neighbours(spark):
+    """A class that heads a signature but is no centre is compared in its neighbour's chunk."""
+    base = [f"w{i}" for i in range(60)]
+    texts_of = {1: "other words than these", 2: " ".join(base), 3: " ".join([*base, "more"])}
+    docs = spark.createDataFrame([(i, i, t) for i, t in texts_of.items()], f"id_key long, text_key long, {textscan.TEXT} string")
+    reps = spark.createDataFrame([(i, 1, len(t.split()) - 2, i, i) for i, t in texts_of.items()], "cls long, root long, n long, r_id long, r_key long")
+    near = spark.createDataFrame([(3, 1), (3, 2)], "a long, b long")
+    links, chunks = jaccard._Search(docs, reps, 3, 3, 90, 100, 1000).in_chunks(near)
+    roots = {r["v"]: r["root"] for r in connected_components(links).collect()}
+    assert roots[2] == roots[3]
+    assert chunks.count() == 1
+
+
 def test_one_of_each_group_stays(spark):
     docs = texts(90)
     expected = {g for d, (n, g) in brute.groups(docs, 5, 80, 100).items()}
