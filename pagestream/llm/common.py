@@ -35,11 +35,9 @@ _kept: list[DataFrame] = []
 
 def released(spark: SparkSession) -> None:
     """Drop every intermediate table of this session, once no result that reads them is needed any more."""
-    for df in _kept:
-        df.unpersist()
+    unkept(*_kept)
     for path in list(_tables):
         dropped(spark, path)
-    _kept.clear()
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -68,6 +66,13 @@ def kept(df: DataFrame) -> DataFrame:
     return _kept[-1]
 
 
+def unkept(*tables: DataFrame) -> None:
+    """Let go of kept tables that nothing reads any more."""
+    for df in tables:
+        df.unpersist()
+    _kept[:] = [x for x in _kept if all(x is not df for df in tables)]
+
+
 #: Bytes of an Arrow batch between the JVM and Python: both sides hold a few of them for each task.
 BATCH_BYTES = 8 << 20
 
@@ -99,7 +104,7 @@ def settled(df: DataFrame) -> tuple[DataFrame, int]:
     held = kept(df)
     n = held.count()
     done = cut(held, n)
-    held.unpersist()
+    unkept(held)
     return done, n
 
 

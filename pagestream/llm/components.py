@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, kept
+from .common import cut, kept, unkept
 
 
 #: Edges that one task holds (32 bytes each, about).
@@ -62,7 +62,7 @@ def connected_components(edges: DataFrame, one_task: int = ONE_TASK_EDGES) -> Da
         # an exchange, not a coalesce: a lost executor's part of the edges is made again by many tasks
         return start.select("a", "b").repartition(1).mapInArrow(_one_task, "v long, root long")
     edges = cut(start.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n)
-    start.unpersist()
+    unkept(start)
     before = None
     while (now := _state(edges)) != before:
         before = now

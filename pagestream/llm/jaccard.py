@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from .common import kept, settled, small, small_batches
+from .common import _kept, kept, settled, small, small_batches, unkept
 from .components import connected_components
 from .textscan import HASH_BITS, SPACED, TEXT, Slice, mix, slices
 
@@ -380,6 +380,7 @@ def jaccard_groups(documents: DataFrame, k: int, num: int, den: int, id_col: str
     more = search.across(groups, chunks)
     if more is not None:
         groups, _ = settled(connected_components(sure.unionAll(more)))
+    unkept(candidates, *search.held)
     groups = groups.select(F.col("v").alias("g_cls"), F.col("root").alias("g_root"))
 
     placed = firsts.join(small(groups, few, 16), F.col("cls") == F.col("g_cls"), "left").select("cls", F.coalesce("g_root", "cls").alias("group"), "first")
@@ -402,6 +403,11 @@ class _Search:
 
     def __init__(self, docs: DataFrame, reps: DataFrame, few: int, k: int, num: int, den: int, shingles: int):
         self.docs, self.reps, self.few, self.k, self.num, self.den, self.shingles = docs, reps, few, k, num, den, shingles
+        self.held: list[DataFrame] = []
+
+    def _held(self, df: DataFrame) -> DataFrame:
+        self.held.append(kept(df))
+        return self.held[-1]
 
     def _texts(self, assigned: DataFrame, rows: int) -> DataFrame:
         """``assigned`` (cls, n and others; so many rows) with the classes' texts."""
@@ -416,9 +422,9 @@ class _Search:
         heads = near.join(small(stars.select(F.col("cls").alias("a"), "centre"), self.few, 16), "a").groupBy(F.col("b").alias("cls")).agg(F.min("centre").alias("centre"))
         heads = heads.where("cls <> centre").join(small(stars.select("cls"), self.few, 8), "cls", "left_anti")
         stars = stars.unionByName(heads).join(small(sized, self.few, 24), "cls")
-        stars = kept(stars.select("cls", "root", "n", "centre"))
+        stars = self._held(stars.select("cls", "root", "n", "centre"))
         cells = stars.groupBy("centre", "root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_SETS)), F.ceil(F.sum("n") / F.lit(min(CHUNK_SHINGLES, self.shingles)))).alias("chunks"))
-        cells = kept(cells)
+        cells = self._held(cells)
         dealt = stars.join(small(cells.select("centre", "chunks"), self.few, 16), "centre").select("cls", "centre", F.pmod(F.xxhash64("cls"), "chunks").alias("chunk"))
         centres = cells.select(F.col("centre").alias("cls"), "centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
         texts = self._texts(dealt.unionAll(centres), 2 * self.few)
@@ -457,7 +463,7 @@ class _Search:
                     yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in range(4)), pa.array(h.astype(np.int64))], names=["root", "cls", "n", "g", "token"])
 
         # repeated rows of a text give a shingle twice, which changes the order only
-        tokens = kept(self._texts(sets, self.few).dropDuplicates(["root", "cls"]).select("root", "cls", "n", "g", TEXT).mapInArrow(shingles, "root long, cls long, n long, g long, token long"))
+        tokens = self._held(self._texts(sets, self.few).dropDuplicates(["root", "cls"]).select("root", "cls", "n", "g", TEXT).mapInArrow(shingles, "root long, cls long, n long, g long, token long"))
         counts = tokens.groupBy("root", "token").agg(F.count(F.lit(1)).alias("held"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("held > 1")
         named = tokens.join(counts, ["root", "token"], "left")
         rank = F.row_number().over(Window.partitionBy("root", "cls").orderBy(F.coalesce("held", F.lit(1).cast("long")), "token"))
@@ -474,11 +480,11 @@ class _Search:
         parts = F.greatest(F.ceil(F.sum("n") / F.lit(max(1, self.shingles // 2))), F.ceil(F.count(F.lit(1)) / sets))
         cells = marked.groupBy("unit", "rest", "band").agg(parts.alias("parts"))
         part = F.pmod(F.xxhash64("cls"), F.col("parts"))
-        blocks = kept(marked.join(cells, ["unit", "rest", "band"]).select("unit", "cls", "n", F.struct("rest", "band", part.alias("part")).alias("block")))
+        blocks = self._held(marked.join(cells, ["unit", "rest", "band"]).select("unit", "cls", "n", F.struct("rest", "band", part.alias("part")).alias("block")))
         spans = blocks.groupBy("unit", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
         a, b = spans.where("block.rest").selectExpr("unit", "block as one", "lo as a_lo", "hi as a_hi"), spans.selectExpr("unit", "block as two", "lo as b_lo", "hi as b_hi")
         fits = (F.col("a_hi") * self.den >= F.col("b_lo") * self.num) & (F.col("b_hi") * self.den >= F.col("a_lo") * self.num)
-        pairs = kept(a.join(b, "unit").where(fits & (~F.col("two.rest") | (F.col("one") <= F.col("two")))).select("unit", "one", "two"))
+        pairs = self._held(a.join(b, "unit").where(fits & (~F.col("two.rest") | (F.col("one") <= F.col("two")))).select("unit", "one", "two"))
         ends = pairs.select("unit", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
         sided, rows = settled(blocks.join(ends, ["unit", "block"]).select("unit", "one", "two", "cls", (F.col("block") == F.col("one")).alias("side")))
         texts = self._texts(sided, rows)
@@ -490,14 +496,17 @@ def keep_first(documents: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     Documents without words stay, rows that are equal in id and text leave one row.
     """
+    before = list(_kept)
     found = jaccard_groups(documents, k, num, den, id_col, text_col)
-    linked = found.where("n_shingles > 0")
-    gone = kept(linked.where(~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("first_key")))).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct())
-    again = kept(linked.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).count().where("count > 1").select("__id", "__key"))
+    linked = kept(found.where("n_shingles > 0"))
+    copy = (F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    gone, n = settled(linked.where(~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("first_key")))).select(*copy).distinct())
+    again, repeated = settled(linked.groupBy(*copy).count().where("count > 1").select("__id", "__key"))
+    unkept(*[x for x in _kept if all(x is not y for y in before)])
     key = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
-    left = documents.join(small(gone, gone.count(), 16), same, "left_anti")
-    if (n := again.count()) == 0:
+    left = documents.join(small(gone, n, 16), same, "left_anti")
+    if repeated == 0:
         return left
-    again = small(again, n, 16)
+    again = small(again, repeated, 16)
     return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept, small
+from .common import kept, small, unkept
 from .textscan import _FOLD, TEXT, Slice, annotate, slices
 
 #: Bound on the expected number of labelled rows that training reads as text; a language has one row at least.
@@ -116,6 +116,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", t
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
     counted = sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    unkept(counts)
     return _coded(languages, counted["key"].to_numpy(), counted["n"].to_numpy(), np.array([r["rows"] for r in per], dtype=float))
 
 

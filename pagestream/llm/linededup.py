@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, kept, small, written
+from .common import dropped, kept, small, unkept, written
 
 LEAD = 3
 AGREE = 60
@@ -94,8 +94,7 @@ def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_tex
     named = template(parsed.where(F.col("masked") != "").select("key", "bytes", "pos", "line"))
     gone = named.join(small(recurring, recurring.count(), 16), (F.col("template") == F.col("r_template")) & (F.col("general") == F.col("r_general")), "left_semi")
     found, _ = written(gone.groupBy("key", "bytes").agg(F.sort_array(F.collect_set("pos")).alias("positions")), "gone")
-    for table in (recurring, general, distinct):
-        table.unpersist()
+    unkept(recurring, general, distinct)
     dropped(texts.sparkSession, path)
     return found
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept, small
+from .common import kept, small, unkept
 from .textscan import ALNUM, HASH_BITS, TEXT, Slice, Words, annotate, byte_class, mix, slices
 
 #: Bound on the expected number of labelled rows that training reads.
@@ -249,6 +249,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(list(x), type=pa.list_(pa.float64()))], names=["label", "x"])
 
     fit = sample.where("part >= 5").select(TEXT, "label").mapInArrow(rows_of, "label double, x array<double>").toArrow()
+    unkept(sample, picked, known)
     if not len(fit):
         return None
     x, y = np.array(fit["x"].to_pylist()), fit["label"].to_numpy()

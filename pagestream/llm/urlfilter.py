@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, unkept
 
 BUCKETS = 4096
 HOST_GRAMS, PATH_GRAMS = (3, 4), (3,)
@@ -133,6 +133,7 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label", rou
 
     zero = F.array_repeat(F.lit(0.0), BUCKETS)
     done = both.select(F.aggregate(F.sequence(F.lit(1), F.lit(max(rounds, 1))), F.struct(zero.alias("w"), zero.alias("ahead")), one_round)["w"].alias("w")).first()
+    unkept(rows)
     return list(done["w"]) if rounds > 0 else [0.0] * BUCKETS
 
 
