@@ -138,6 +138,35 @@ def test_snapshots(spark, tmp_path):
     assert snap.publish_if(False, spark.range(9)) == first
 
 
+def test_a_lost_pointer_loses_no_rows(spark, tmp_path):
+    schema = spark.createDataFrame([], "k long, v long").schema
+    snap = incremental.Snapshots(spark, str(tmp_path / "s"))
+    upsert = incremental.upsert_batch(snap, "k", F.col("v"), schema)
+    batch = lambda *rows: spark.createDataFrame(list(rows), schema)
+    upsert(batch(*[(i, 0) for i in range(50)]), 0)
+    files = {p for p in (tmp_path / "s").rglob("*.parquet")}
+    upsert(batch((3, 9), (77, 1)), 1)
+    # only the partitions of the batch's keys are written
+    new = {p.parent.name for p in (tmp_path / "s").rglob("*.parquet")} - {p.parent.name for p in files}
+    assert len({p for p in (tmp_path / "s").rglob("*.parquet")} - files) <= 2
+    assert len(new) <= 2
+    state = sorted(map(tuple, snap.load(schema=schema).collect()))
+    assert state == [(i, 0) for i in range(50)] + [(77, 1)]
+    upsert(batch((3, 9), (77, 1)), 1)  # again, as after a failure
+    assert sorted(map(tuple, snap.load(schema=schema).collect())) == state
+    # a run that dies before its pointer is renamed leaves the last one
+    newest = max((tmp_path / "s").glob("current-*.json"))
+    newest.rename(tmp_path / "s" / ".cut-off.new")
+    upsert(batch((78, 1)), 2)
+    assert sorted(map(tuple, snap.load(schema=schema).collect())) == [*state, (78, 1)]
+    snap.prune(keep=1)
+    assert snap.load(schema=schema).count() == 52
+    for p in (tmp_path / "s").glob("current-*.json"):
+        p.unlink()
+    with pytest.raises(FileNotFoundError):
+        upsert(batch((79, 1)), 3)
+
+
 def test_upsert_actions(spark):
     now = spark.createDataFrame([(1, "a"), (2, "x"), (3, "c"), (4, "d")], "id int, print string")
     stored = spark.createDataFrame([(1, "a", 2), (2, "b", 2), (3, "c", 1), (9, "z", 2)], "id int, print string, version int")
