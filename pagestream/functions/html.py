@@ -5,6 +5,7 @@ from __future__ import annotations
 import codecs
 import html
 import json
+import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -25,8 +26,9 @@ def _mapped(f, returns):
 
 
 def html_unescape(c: Column) -> Column:
-    """Character references decoded."""
-    return _mapped(html.unescape, T.StringType())(c)
+    """Character references decoded; a text without ``&`` holds none and is not looked at in Python."""
+    held = F.when(F.contains(c, F.lit("&")), c)
+    return F.coalesce(_mapped(html.unescape, T.StringType())(held), c)
 
 
 def balanced_json(text: Column) -> Column:
@@ -34,23 +36,45 @@ def balanced_json(text: Column) -> Column:
     return _mapped(first_object, T.StringType())(text)
 
 
+def json_objects(text: Column, marker: str = "") -> Column:
+    """Every JSON object that parses, from each place after a marker (a brace without an object is passed over)."""
+    return _mapped(lambda x: objects_after(x, marker), T.ArrayType(T.StringType()))(text)
+
+
+_MARKS = re.compile(r"[{}\"\\]")
+
+
 def first_object(text: str) -> str | None:
-    start, depth, quoted, skip = -1, 0, False, False
-    for i, ch in enumerate(text):
-        if skip:
-            skip = False
-        elif quoted:
-            skip, quoted = ch == "\\", ch != '"'
-        elif ch == '"' and depth:
-            quoted = True
-        elif ch == "{":
-            start = i if depth == 0 else start
-            depth += 1
-        elif ch == "}" and depth:
-            depth -= 1
-            if depth == 0:
-                return text[start : i + 1]
-    return None
+    """The outermost closed object that starts first; a brace that is never closed holds back none. One pass."""
+    opened: list[int] = []
+    best, quoted, skip = (len(text), 0), False, -1
+    for m in _MARKS.finditer(text):
+        mark, i = m[0], m.start()
+        if i == skip:
+            continue
+        if quoted:
+            skip, quoted = (i + 1 if mark == "\\" else skip), mark != '"'
+        elif mark == '"':
+            quoted = bool(opened)
+        elif mark == "{":
+            opened.append(i)
+        elif mark == "}" and opened:
+            best = min(best, (opened.pop(), i + 1))
+            if not opened:
+                break
+    return text[best[0] : best[1]] if best[1] else None
+
+
+def objects_after(text: str, marker: str = "") -> list[str]:
+    decoder, found, at = json.JSONDecoder(), [], text.find(marker)
+    while at >= 0 and (at := text.find("{", at + len(marker) if marker else at)) >= 0:
+        try:
+            _, end = decoder.raw_decode(text, at)
+            found.append(text[at:end])
+        except ValueError:
+            end = at + 1
+        at = text.find(marker, end) if marker else end
+    return found
 
 
 def valid_json(c: Column) -> Column:

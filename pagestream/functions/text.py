@@ -158,7 +158,6 @@ def guid(title: Column, link: Column) -> Column:
 
 def slug_of(link: Column, title: Column) -> Column:
     """Slug of the last path segment unless that has a dot; else of the title; else a hash."""
-    last = F.element_at(F.split(F.regexp_replace(F.regexp_replace(or_empty(link), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", ""), "/"), -1)
     base = F.regexp_replace(F.regexp_replace(or_empty(link), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")
     last = F.element_at(F.split(F.regexp_replace(base, r"/+$", ""), "/"), -1)
     by_link = F.when((last != "") & ~F.contains(last, F.lit(".")), slugify(last, ""))

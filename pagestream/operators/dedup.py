@@ -13,10 +13,11 @@ def _cols(cols: Sequence[Column | str]) -> list[Column]:
 
 
 def first_wins(df: DataFrame, key: Column | Sequence[Column | str], order: Sequence[Column | str]) -> DataFrame:
-    """The first row of each key."""
+    """The first row of each key in ascending order (nulls first); an aggregation, so rows are combined before the shuffle."""
     keys = [key] if isinstance(key, (Column, str)) else list(key)
-    nth = F.row_number().over(Window.partitionBy(*_cols(keys)).orderBy(*_cols(order)))
-    return df.withColumn("__nth", nth).where("__nth = 1").drop("__nth")
+    named = [c.alias(f"__key{i}") for i, c in enumerate(_cols(keys))]
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*named).agg(F.min_by(row, F.struct(*_cols(order))).alias("__row")).select("__row.*")
 
 
 def last_wins(df: DataFrame, key: str, order: Column, columns: Sequence[str]) -> DataFrame:

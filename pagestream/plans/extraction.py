@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -12,24 +12,38 @@ from ..functions import dates, html, json, predicates, text, urls
 from ..operators import aggregates, dedup, joins, layout, sequence, topk
 
 
-def description_and_date(body: Column) -> Column:
-    """struct<description, date> of the text after a listing entry: lines up to a date line, cleaned and cut."""
-    lines = F.filter(F.transform(F.split(body, "\n"), lambda x: text.trim_ws(x)), lambda x: x != "")
-    is_date = lambda x: x.rlike(r"^[A-Z][a-z]+ +\d{1,2}, +\d{4}$") | x.rlike(r"^[A-Z][a-z]+\.? +\d{4}$")
-    date = F.get(F.filter(lines, is_date), F.lit(0))
-    before = F.when(date.isNull(), lines).otherwise(F.slice(lines, F.lit(1), F.array_position(lines, date).cast("int") - 1))
-    joined = text.collapse(F.array_join(before, " "))
-    clean = F.trim(F.regexp_replace(F.regexp_replace(joined, r"!\[[^\]]*\]\([^)]+\)", ""), r"(?i)\[Read more(?: about[^\]]*)?\]\([^)]+\)", ""))
-    return F.struct(text.truncate_hard(clean).alias("description"), date.alias("date"))
+# Lines that are a date, markup that descriptions lose, dates of cards ({tail}: the link text), and how descriptions of cards begin.
+DATE_LINES = (r"^[A-Z][a-z]+ +\d{1,2}, +\d{4}$", r"^[A-Z][a-z]+\.? +\d{4}$")
+DESCRIPTION_MARKUP = (r"!\[[^\]]*\]\([^)]+\)", r"(?i)\[Read more(?: about[^\]]*)?\]\([^)]+\)")
+CARD_DATES = (r"\|([A-Za-z]+ +\d{1,2}, +\d{4})", r"([A-Za-z]+ +\d{1,2}, +\d{4}) +{tail}")
+DESCRIPTION_STARTS = ("The", "This", "These")
 
 
-def title_description_date(raw: Column, tail: str = "Learn more") -> Column:
-    """struct<title, description, date> of a card: the description starts at " The ", " This " or " These "."""
-    date = F.coalesce(text.none_if_empty(F.regexp_extract(raw, r"\|([A-Za-z]+ +\d{1,2}, +\d{4})", 1)), text.none_if_empty(F.regexp_extract(raw, rf"([A-Za-z]+ +\d{{1,2}}, +\d{{4}}) +{tail}", 1)))
+def up_to_line(body: Column, stops: Sequence[str] = DATE_LINES, drop: Sequence[str] = DESCRIPTION_MARKUP, limit: int = 500) -> Column:
+    """struct<description, date>: the lines up to the first that a stop pattern fits, cleaned and cut, and that line."""
+    nothing = F.struct(F.lit("").alias("text"), F.lit(None).cast("string").alias("stop"))
+
+    def add(seen: Column, raw: Column) -> Column:
+        line = text.trim_ws(raw)
+        stop = F.when(line.rlike("|".join(f"(?:{p})" for p in stops)), line)
+        grown = F.struct(F.when(stop.isNull(), F.concat(seen["text"], F.lit(" "), line)).otherwise(seen["text"]).alias("text"), stop.alias("stop"))
+        return F.when(seen["stop"].isNull(), grown).otherwise(seen)
+
+    read = F.aggregate(F.split(body, "\n"), nothing, add)
+    clean = text.collapse(read["text"])
+    for pattern in drop:
+        clean = F.regexp_replace(clean, pattern, "")
+    return F.struct(text.truncate_hard(F.trim(clean), limit).alias("description"), read["stop"].alias("date"))
+
+
+def card_fields(raw: Column, tail: str = "Learn more", found_dates: Sequence[str] = CARD_DATES, starts: Sequence[str] = DESCRIPTION_STARTS) -> Column:
+    """struct<title, description, date> of a card's text: the description begins at the first of the words in ``starts`` that occurs."""
+    date = text.first_of(*[F.regexp_extract(raw, p.replace("{tail}", tail), 1) for p in found_dates])
     core = F.trim(F.regexp_replace(raw, rf"(?i)(\|[^L]*| +){tail}.*$", ""))
-    at = F.coalesce(*[F.nullif(F.instr(core, m), F.lit(0)) for m in (" The ", " This ", " These ")])
-    title = F.when(at.isNull(), core).otherwise(F.trim(F.substring(core, F.lit(1), at - 1)))
-    return F.struct(title.alias("title"), F.when(at.isNull(), core).otherwise(F.substring(core, at + 1, F.length(core))).alias("description"), date.alias("date"))
+    halves = lambda word: F.split(core, f" {word} ", 2)
+    divided = [F.when(F.size(halves(w)) == 2, F.struct(F.trim(halves(w)[0]).alias("title"), F.concat(F.lit(f"{w} "), halves(w)[1]).alias("description"))) for w in starts]
+    both = F.coalesce(*divided, F.struct(core.alias("title"), core.alias("description")))
+    return F.struct(both["title"].alias("title"), both["description"].alias("description"), date.alias("date"))
 
 
 def extract_items(pages: DataFrame, config: Mapping[str, Any], previous: DataFrame, run_ts: Column, undated_new: str = "run") -> DataFrame:
@@ -53,7 +67,7 @@ def extract_items(pages: DataFrame, config: Mapping[str, Any], previous: DataFra
         "url", "pos", "body",
         text.collapse(text.fill_template(item.get("title", "{0}"), F.col("groups"), link_raw)).alias("title"),
         F.trim(text.fill_template(item.get("link", "{" + str(link_group - 1) + "}"), F.col("groups"), link_raw)).alias("link"),
-        description_and_date(F.col("body")).alias("d"),
+        up_to_line(F.col("body")).alias("d"),
     )
     items = filled.select("url", "pos", "title", "link", F.col("d.description").alias("description"), F.col("d.date").alias("date_text"), text.guid(F.col("title"), F.col("link")).alias("guid"))
     if settings.get("dedup", True):

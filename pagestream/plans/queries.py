@@ -467,6 +467,80 @@ def status_counts(spark, sf_dir):
     return table(spark, sf_dir, "labels").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id") % 2 == 0).alias("even"))
 
 
+# --- forms of dates, URLs and stored pages
+
+
+@query(
+    """select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as compact, strftime(o_orderdate, '%Y-%m-%d') as posted, strftime(o_orderdate, '%Y-%m-%d') as archived, o_orderkey % 2 = 1 as timed, strftime(o_orderdate, '%Y-%m-%d 00:00:00') as day,
+ case when o_orderkey % 3 = 0 then '2026-01-02' else strftime(o_orderdate, '%Y-%m-%d') end as build, case when o_orderkey % 5 = 0 then '2026-01-02' else strftime(o_orderdate, '%Y-%m-%d') end as known from orders"""
+)
+def date_forms(spark, sf_dir):
+    d, k, run = F.col("d"), F.col("o_orderkey"), F.lit("2026-01-02").cast("timestamp")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", utc("o_orderdate").alias("d"))
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd")
+    rfc = F.concat(F.date_format(d, "EEE, dd MMM yyyy"), F.when(k % 2 == 1, " 08:30:00 GMT").otherwise(" 00:00:00 GMT"))
+    return orders.select(
+        "o_orderkey",
+        iso(dates.compact_date(F.concat(F.lit("report-"), F.date_format(d, "yyyyMMdd"), F.lit(".pdf")))).alias("compact"),
+        iso(dates.date_in_text(F.concat(F.lit("A note. Posted on "), F.date_format(d, "MMMM d, yyyy"), F.lit(" by us")), "Posted on")).alias("posted"),
+        iso(dates.parse_first(iso(d), dates.ARCHIVE_FORMATS)).alias("archived"),
+        dates.not_a_plain_day(rfc).alias("timed"),
+        F.date_format(dates.day_of(dates.parse_rfc822(rfc)), "yyyy-MM-dd HH:mm:ss").alias("day"),
+        iso(dates.build_date(k % 3 == 0, run, d)).alias("build"),
+        iso(dates.or_run(F.when(k % 5 != 0, d), run)).alias("known"),
+    )
+
+
+@query(
+    r"""with p as (select page_id, url, regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)', 1) as path, regexp_replace(url, '^https?://', '') as bare from pages)
+select page_id, ends_with(lower(path), '.html') as is_html, ends_with(lower(concat(path, '.PDF')), '.pdf') as is_pdf, concat('https://proxy.example/http://', bare) as plain, concat('https://proxy.example/https://', bare) as secure,
+ concat('https://own.example/item/f/', page_id, '/') as item, 'f' as feed, page_id::varchar as slug, page_id % 2 = 0 as localized from p"""
+)
+def url_forms(spark, sf_dir):
+    url, base = F.col("url"), "https://own.example"
+    item = urls.item_page_url(base, F.lit("f"), F.col("page_id").cast("string"))
+    proxies, back = urls.proxy_urls(url, "https://proxy.example"), urls.item_of_path(item)
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.endswith(F.lower(urls.url_path(url)), F.lit(".html")).alias("is_html"), urls.is_pdf_url(F.concat(urls.url_path(url), F.lit(".PDF"), F.lit("?a=b"))).alias("is_pdf"),
+        proxies[0].alias("plain"), proxies[1].alias("secure"), item.alias("item"), back["feed"].alias("feed"), back["slug"].alias("slug"),
+        urls.is_localized(F.when(F.col("page_id") % 2 == 0, item).otherwise(F.lit("/item/g/x/")), base, F.lit("f")).alias("localized"),
+    )
+
+
+@query(
+    r"""with p as (select page_id, html, strpos(lower(html), '</h1>') as h, strpos(lower(html), '</head>') as e from pages)
+select page_id, md5(case when h > 0 then concat(substr(html, 1, h + 4), '<p>x</p>', substr(html, h + 5)) else html end) as after_title, md5(case when e > 0 then concat(substr(html, 1, e - 1), '<style></style>', substr(html, e)) else html end) as styled,
+ md5(case when contains(html, '<article') then html else 'new' end) as once, md5(regexp_replace(html, '(?is)[ 	]*<script[^>]*>.*?</script>[ 	]*
+?', '', 'g')) as without_scripts, case page_id % 3 when 0 then 'png' when 1 then 'jpg' else 'webp' end as extension,
+ concat('<svg><path d="', page_id, '"/></svg>') as svg, concat('a', page_id) as srcset, length(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g')) as chars from p"""
+)
+def page_edits(spark, sf_dir):
+    page, k = F.col("html"), F.col("page_id")
+    image = F.when(k % 3 == 0, F.lit("http://h/i.PNG?w=1")).when(k % 3 == 1, F.lit("http://h/i.jpeg")).otherwise(F.lit("http://h/i"))
+    drawn = F.concat(F.lit('<?xml version="1.0"?><svg width="9"><script>no</script><path d="'), k.cast("string"), F.lit('" onload="x()"/></svg>'))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.md5(text.insert_after_h1(page, F.lit("<p>x</p>"))).alias("after_title"), F.md5(text.insert_before_head_end(page, F.lit("<style></style>"))).alias("styled"),
+        F.md5(text.once(page, "<article", F.lit("new"))).alias("once"), F.md5(text.drop_elements(page, "script")).alias("without_scripts"), text.image_extension(image, F.lit("image/webp; q=1")).alias("extension"),
+        text.clean_svg(drawn).alias("svg"), text.srcset_first(F.concat(F.lit("a"), k.cast("string"), F.lit(" 1x, b 2x"))).alias("srcset"), F.length(text.drop_comments(page)).alias("chars"),
+    )
+
+
+@query(
+    """with n as (select doc_id, concat('The year ', doc_id, ' of rates') as title, 'The markets moved again.' as description from documents)
+select doc_id, title, 'This year was long.' as description, 'May 4, 2025' as date, concat('line one of ', doc_id, '  line two') as listed, 'May 2025' as listed_date, doc_id % 2 = 0 as stray from n"""
+)
+def listing_fields(spark, sf_dir):
+    from . import extraction
+
+    k = F.col("doc_id").cast("string")
+    card = extraction.card_fields(F.concat(F.lit("The year "), k, F.lit(" of rates This year was long. May 4, 2025 Learn more about it")))
+    listed = extraction.up_to_line(F.concat(F.lit("line one of "), k, F.lit("\n\n ![i](http://i) line two [Read more about x](http://x)\nMay 2025\nnot this")))
+    odd = F.concat(F.when(F.col("doc_id") % 2 == 0, F.lit("{ stray <p>")).otherwise(F.lit("")), F.lit('x({"id": '), k, F.lit(', "a": "}"})'))
+    whole = html.balanced_json(odd) == F.concat(F.lit('{"id": '), k, F.lit(', "a": "}"}'))
+    title = F.regexp_replace(card["title"], r" This.*$", "")
+    return table(spark, sf_dir, "documents").select("doc_id", title.alias("title"), F.regexp_replace(card["description"], r" May.*$", "").alias("description"), card["date"].alias("date"), listed["description"].alias("listed"), listed["date"].alias("listed_date"), (whole & (F.col("doc_id") % 2 == 0)).alias("stray"))
+
+
 # --- Python functions (no SQL side)
 
 
