@@ -302,11 +302,11 @@ def positional_join(spark, sf_dir):
     return joins.positional(a, b, ["k"], ["o_orderkey"], ["l_orderkey", "l_linenumber"])
 
 
-@query("""with s as (select p_partkey as k, p_size as o from part where p_partkey % 3 <> 0), f as (select l_partkey as k, count(*) as n from lineitem where l_partkey % 2 = 0 group by 1)
+@query("""with s as (select p_partkey as k, p_size as o from part), f as (select l_partkey + 50 as k, count(*) as n from lineitem group by 1)
 select k, s.o, f.n, case when s.k is null then 'leftover' when f.k is null then 'unfilled' else 'filled' end as state from s full outer join f using (k)""")
 def full_outer_leftovers(spark, sf_dir):
-    slots = table(spark, sf_dir, "part").where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("o"))
-    found = table(spark, sf_dir, "lineitem").where("l_partkey % 2 = 0").groupBy(F.col("l_partkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    slots = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("o"))
+    found = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") + 50).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     return joins.full_outer_leftovers(slots, found, "k", "o").select("k", "o", "n", "state")
 
 
@@ -315,11 +315,12 @@ def missing_page_heal(spark, sf_dir):
     return joins.missing_outputs(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), ["doc_id"])
 
 
-@query("""with c as (select rtrim(regexp_replace(url, '[?#].*$', ''), '/') as u from pages where page_id % 3 <> 0), p as (select rtrim(regexp_replace(url, '[?#].*$', ''), '/') as u from pages where page_id % 3 <> 1)
+@query("""with c as (select rtrim(regexp_replace(url, '[?#].*$', ''), '/') as u from pages), p as (select case when page_id % 3 = 0 then concat(u, '/old') else u end as u from (select page_id, rtrim(regexp_replace(url, '[?#].*$', ''), '/') as u from pages))
 select (select count(*) from (select u from c except select u from p)) as added, (select count(*) from (select u from p except select u from c)) as removed""")
 def set_change_detect(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("u"))
-    now, then = pages.where("page_id % 3 <> 0").select("u").distinct(), pages.where("page_id % 3 <> 1").select("u").distinct()
+    moved = F.when(F.col("page_id") % 3 == 0, F.concat("u", F.lit("/old"))).otherwise(F.col("u"))
+    now, then = pages.select("u").distinct(), pages.select(moved.alias("u")).distinct()
     marked = now.withColumn("side", F.lit(1)).unionByName(then.withColumn("side", F.lit(2))).groupBy("u").agg(F.sum("side").alias("sides"))
     return marked.agg(F.count_if(F.col("sides") == 1).alias("added"), F.count_if(F.col("sides") == 2).alias("removed"))
 
