@@ -13,12 +13,45 @@ from .text import collapse
 BLOCKED_ANYWHERE = ("Just a moment",)
 BLOCKED_EARLY = (("Cloudflare", 500), ("Performing security verification", 2000), ("Target URL returned error 403", 3000))
 
+# Wording by which a proxy's answer is the site's shell instead of an article.
+SHELL_WORDING = (
+    "title: deutsche bank research institute", "bringing the world to europe and europe to the world", "über diesen link verlassen sie die informationsseiten der deutsche bank gruppe",
+    "don't show this message anymore", "ihre sitzung wird in 180 sekunden beendet", "mit neuer sitzung fortfahren", "1. [null](https://www.dbresearch.com/prod/ie-prod/navigation.alias)",
+)
+
 # Wording of site navigation.
 NAVIGATION = (
-    "principles", "leadership", "history", "contacts and locations", "global insights", "investment stewardship", "public policy", "investor relations", "annual reports",
-    "corporate governance", "human capital", "ethics and integrity", "health and safety", "social impact", "search jobs", "benefits", "career development", "local websites",
-    "search results", "no search results found", "before we proceed", "by entering this site", "no offer", "no warranty", "no liability", "you are now leaving",
+    "about blackrock", "principles", "leadership", "history", "contacts and locations", "global insights", "investment stewardship", "our approach to sustainability", "public policy",
+    "investor relations", "annual reports", "sec filings", "stock information", "dividend history", "corporate governance", "corporate sustainability", "human capital",
+    "environmental sustainability", "ethics and integrity", "health and safety", "social impact", "search jobs", "life at blackrock", "benefits", "career development", "students & graduates",
+    "supporting our veterans", "local websites", "search results", "no search results found", "please double-check your spelling", "welcome to blackrock corporate site", "before we proceed",
+    "please read this page before proceeding", "by entering this site", "no offer", "no warranty", "no liability", "intellectual property rights", "you are now leaving",
+)
+
+# Wording that ends an article, that paragraphs to be skipped begin with or hold, and their publisher's name.
+ARTICLE_ENDS = (
+    "important research disclosures", "the above information has been obtained", "all opinions and claims are based upon data",
+    "this material has been prepared by the deutsche bank research institute", "copyright ©",
+)
+SKIPPED_STARTS = (
+    "title:", "url source:", "markdown content:", "don't show this message anymore", "ihre sitzung", "mit neuer sitzung fortfahren", "bringing the world to europe",
+    "über diesen link verlassen sie", "die seite xxxx wird geöffnet", "1. [null]", "source:", "figure ",
 )
+COLOUR_WORDING = ("deep blue", "dark blue", "bright blue", "vibrant cyan", "autumn green", "lucent yellow", "first level, 14 pt", "standard text formats")
+SKIPPED_WORDING = (*COLOUR_WORDING, "second level, 14 pt", "sixth level, footnote", "seventh level, footnote", "http://", "https://")
+PUBLISHER = "deutsche bank research institute"
+
+# Fixed values: (shape, length): paragraphs of that shape and below that length (None: of any length) are no text.
+SKIPPED_SHAPES = (
+    (r"^(## \[|# )", None),
+    (r"(?i)research analyst$", 80),
+    (r"(?i)^analysts", 120),
+    (r"^[0-9]{1,2}\s+[A-Z][a-z]{2,8}\s+[0-9]{4}\s", 80),
+    (r"^[A-Z][a-z]{2,8}\s+[0-9]{1,2},\s+[0-9]{4}", 60),
+    (r"(?i)^(deutsche bank [^.]{0,60} )?page\s+[0-9]+$", None),
+    (r"(?i)^sources?$", None),
+    (r"(?i)^[0-9]+\s+review of ", None),
+)
 
 # Wording of player, sharing and disclaimer lines.
 NOISE = (
@@ -26,6 +59,10 @@ NOISE = (
     "download full commentary", "change location", "header:",
 )
 
+# Lines of a PDF that stand by themselves, and how others begin.
+JUNK_LINES = ("deutsche bank research institute", "deutsche bank ag", "sensitivity: public", "source: deutsche bank research")
+JUNK_STARTS = ("page ", "important research disclosures", "appendix ")
+
 ITEM_MARK = "item-render-version"
 
 
@@ -50,6 +87,12 @@ def too_many_headings(markdown: Column, mark: str = "## [", most: int = 3) -> Co
     return (F.length(markdown) - F.length(F.replace(markdown, F.lit(mark), F.lit("")))) >= most * len(mark)
 
 
+def is_shell(markdown: Column, wording: Sequence[str] = SHELL_WORDING, mark: str = "## [", most: int = 3) -> Column:
+    """The site's shell or a listing instead of an article."""
+    page = F.coalesce(markdown, F.lit(""))
+    return (count_hits(F.lower(page), wording) > 0) | too_many_headings(page, mark, most)
+
+
 def is_navigation(text: Column, patterns: Sequence[str] = NAVIGATION) -> Column:
     """Three hits in over 200 characters, or two in over 100."""
     low = F.lower(text)
@@ -63,12 +106,15 @@ def is_noise_line(line: Column, patterns: Sequence[str] = NOISE, least: int = 40
 
 
 def is_junk_line(line: Column) -> Column:
-    """Lines of a PDF that are no text: digits, page numbers, addresses, dates, colour triplets, next to nothing."""
+    """Lines of a PDF that are no text: digits, page numbers, notices, addresses, dates, names and triplets of colours, next to nothing."""
     low = F.lower(F.trim(line))
     return (
         (F.length(low) <= 2)
         | low.rlike(r"^[0-9]{1,4}$")
-        | F.startswith(low, F.lit("page "))
+        | low.isin(*JUNK_LINES)
+        | F.exists(F.array(*[F.lit(x) for x in JUNK_STARTS]), lambda x: F.startswith(low, x))
+        | (F.startswith(low, F.lit("authors")) & (F.length(low) < 80))
+        | F.exists(F.array(*[F.lit(x) for x in COLOUR_WORDING]), lambda x: F.contains(low, x))
         | low.rlike(r"^[0-9]+\|[0-9]+\|[0-9]+$")
         | low.rlike(r"^[^ @]+@[^ @]+\.[a-z]+$")
         | low.rlike(r"^https?://[^ ]+$")
@@ -76,20 +122,20 @@ def is_junk_line(line: Column) -> Column:
     )
 
 
-def is_junk_paragraph(p: Column, title: Column) -> Column:
-    """Paragraphs that are no article text: links, headings, captions, sources, the title again, name lists, short ones."""
-    low, t = F.lower(p), F.lower(title)
-    return (
-        (F.length(p) < 20)
-        | p.rlike(r"^#{1,2} ")
-        | p.rlike(r"https?://")
-        | (low == t)
-        | ((t != "") & F.contains(low, t) & (F.length(p) < F.greatest(F.lit(120), F.length(t) + 40)))
-        | low.rlike(r"^(title|url source|markdown content|source|sources):?")
-        | F.startswith(low, F.lit("figure "))
-        | low.rlike(r"^page [0-9]+$")
-        | ((F.regexp_count(p, F.lit(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b")) >= 5) & (F.length(p) < 600))
-    )
+def is_junk_paragraph(p: Column, title: Column, description: Column | None = None, publisher: str = PUBLISHER) -> Column:
+    """Paragraphs that are no article text: skipped wording and shapes, the title or description again, tables of colours, name lists, short ones."""
+    low, t = F.lower(p), F.coalesce(title, F.lit(""))
+    wording = F.exists(F.array(*[F.lit(w) for w in SKIPPED_WORDING]), lambda w: F.contains(low, w)) | F.exists(F.array(*[F.lit(w) for w in SKIPPED_STARTS]), lambda w: F.startswith(low, w))
+    shapes = F.lit(False)
+    for shape, below in SKIPPED_SHAPES:
+        shapes = shapes | (p.rlike(shape) & (F.length(p) < below if below else F.lit(True)))
+    again = (t != "") & ((p == t) | (F.contains(low, F.lower(t)) & (F.length(p) < F.greatest(F.lit(120), F.length(t) + 40))))
+    if description is not None:
+        again = again | ((p == description) & (description != ""))
+    own = (low == publisher) | (F.startswith(low, F.lit(publisher + " ")) & F.contains(p, F.lit(" – ")))
+    colours = F.contains(p, F.lit(" | ")) & (F.regexp_count(p, F.lit(r"[0-9]+\|[0-9]+\|[0-9]+")) >= 3)
+    names = (F.regexp_count(p, F.lit(r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b")) >= 5) & (F.length(p) < 600)
+    return (F.length(p) < 20) | wording | shapes | again | own | colours | names
 
 
 def is_marked(text: Column, markers: Sequence[str], least: int = 2) -> Column:

@@ -131,6 +131,12 @@ def drop_elements(c: Column, tag: str) -> Column:
     return F.regexp_replace(c, rf"(?is)[ \t]*<{t}[^>]*>.*?</{t}>[ \t]*\n?", "")
 
 
+def strip_namespaces(c: Column) -> Column:
+    """XML text without namespace declarations and prefixes of names."""
+    bare = F.regexp_replace(c, r"""\s+xmlns(?::[A-Za-z0-9_.-]+)?=("[^"]*"|'[^']*')""", "")
+    return F.regexp_replace(bare, r"(</?)[A-Za-z0-9_.-]+:([A-Za-z0-9_.-]+)", "$1$2")
+
+
 # --- slugs, hashes, titles
 
 
@@ -236,9 +242,18 @@ def block_markdown(c: Column) -> Column:
     return F.regexp_replace(html, r"(?s)(<li>.*?</li>)(?!\n<li>)", "$1</ul>").transform(lambda x: F.regexp_replace(x, r"(?s)(^|(?<!</li>)\n)<li>", "$1<ul><li>"))
 
 
-def clean_article_markdown(c: Column, title: Column) -> Column:
-    """Article markdown without proxy header lines, its own title line, images and a tail of links."""
+# Lines that article markdown loses ({site}: its name), and how its tail begins.
+ARTICLE_LINES = (r"(?m)^# .* - {site}\s*$", r"(?m)^[A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}$", r"(?m)^Share on\s*$", r"(?im)^\*\s*\[\]\([^)]*(?:linkedin|x\.com|twitter)[^)]*\)\s*$")
+ARTICLE_TAILS = (r"(?is)\n## Explore\s.*$", r"(?is)\n### Manage Consent Preferences.*$", r"(?is)\nThis website uses cookies.*$")
+
+
+def clean_article_markdown(c: Column, title: Column, site: str = "Citadel Securities") -> Column:
+    """Article markdown without proxy header lines, title and date lines, share links, images, and tails of links and consent notes."""
     out = F.regexp_replace(or_empty(c), r"(?m)^(Title|URL Source|Published Time|Markdown Content):.*$", "")
+    for pattern in ARTICLE_LINES:
+        out = F.regexp_replace(out, pattern.replace("{site}", re.escape(site)), "")
+    for pattern in ARTICLE_TAILS:
+        out = F.regexp_replace(out, pattern, "")
     out = F.regexp_replace(out, r"(?m)^!\[[^\]]*\]\([^)]*\)\s*$", "")
     heading = F.concat(F.lit(r"(?m)^#+ *\Q"), title, F.lit(r"\E *$"))
     out = F.regexp_replace(out, heading, F.lit("")) if isinstance(title, Column) else out

@@ -45,9 +45,9 @@ def reading_order(boxes: DataFrame, width: float, ties: list[str] | None = None)
 
 
 def figure_regions(rects: DataFrame, height: float) -> DataFrame:
-    """First cluster of drawings of each page: rectangles within 5 % of the height of the ones above."""
+    """Clusters of drawings of each page: rectangles within 5 % of the height of the ones above."""
     clustered = merge_overlapping(rects, "y0", "y1", F.lit(0.05 * height), PAGE, ["y0", "x0"], "cluster")
-    return bounding_boxes(clustered.where("cluster = 0"), PAGE)
+    return bounding_boxes(clustered, [*PAGE, "cluster"])
 
 
 def body_text(boxes: DataFrame, figures: DataFrame, share: float = 0.6) -> DataFrame:

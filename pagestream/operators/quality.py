@@ -29,12 +29,30 @@ def asserted(df: DataFrame, ok: Column, message: Column) -> DataFrame:
     return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
-def item_rules(min_description: int = 80, min_page: int = 800) -> dict[str, Column]:
-    """Rules of published items (columns title, link, description, content_html, page)."""
+# What a footer of syndication says.
+FOOTERS = ("appeared first on",)
+
+
+def item_rules(min_description: int = 80, min_page: int = 800, domain: str = "", footers: tuple[str, ...] = FOOTERS) -> dict[str, Column]:
+    """Rules of published items (columns title, link, description, content_html, page, source_url); a page's source, if any, is on the domain."""
+    published = F.lower(F.concat_ws(" ", "description", "content_html"))
     return {
         "title": F.length(F.trim("title")) > 0,
-        "link": F.length(F.trim("link")) > 0,
+        "link": (F.length(F.trim("link")) > 0) & F.startswith("link", F.lit(domain)),
         "no_body": F.coalesce(F.length("content_html"), F.lit(0)) == 0,
         "description": F.length("description") >= min_description,
         "page": F.length("page") >= min_page,
+        "source": (F.coalesce("source_url", F.lit("")) == "") | F.startswith("source_url", F.lit(domain)),
+        "footer": ~F.exists(F.array(*[F.lit(f) for f in footers]), lambda f: F.contains(published, f)),
     }
+
+
+def page_rules(text: Column, markers: tuple[str, ...], min_chars: int = 500, least: int = 2) -> dict[str, Column]:
+    """Rules of a stored page: long enough, and so many of the markers."""
+    hits = sum((F.contains(F.lower(text), F.lit(m)).cast("int") for m in markers), F.lit(0))
+    return {"length": F.length(text) >= min_chars, "markers": hits >= least}
+
+
+def structure_rules(html: Column, paragraphs: int = 3, marker: str = "") -> dict[str, Column]:
+    """Rules of an article's markup: a title, so many paragraphs, a marker."""
+    return {"heading": html.rlike("(?is)<h1[^>]*>.*[^ ].*</h1>"), "paragraphs": F.regexp_count(html, F.lit("(?i)<p[ >]")) >= paragraphs, "marker": F.contains(html, F.lit(marker))}

@@ -105,22 +105,77 @@ def markdown_links(pages: DataFrame, text_col: str, least: int = 3) -> DataFrame
 def parse_article(pages: DataFrame, min_chars: int = 280) -> DataFrame:
     """Articles of markdown pages (url, title, markdown): cleaned, as HTML and text, blocked and short ones gone."""
     body = text.clean_article_markdown(F.col("markdown"), F.coalesce("title", F.lit("")))
-    good = pages.where(~predicates.looks_blocked(F.col("markdown")) & ~predicates.too_many_headings(F.col("markdown")))
+    good = pages.where(~predicates.looks_blocked(F.col("markdown")) & ~predicates.is_shell(F.col("markdown")))
     made = good.withColumn("__body", body).withColumns({"content_html": text.block_markdown(F.col("__body")), "plain": text.strip_markdown_links(F.col("__body"))})
     return made.where(F.length("plain") >= min_chars).withColumn("description", text.truncate_words(F.col("plain"))).drop("__body")
 
 
-def article_paragraphs(lines: DataFrame, by: list[str], order: str, line: str, title: str, stops: list[str]) -> DataFrame:
-    """Paragraphs of noisy text: junk lines go, lines join into paragraphs, junk paragraphs go, text after a stop mark goes."""
+def article_paragraphs(lines: DataFrame, by: list[str], order: str, line: str, title: str, stops: Sequence[str] = predicates.ARTICLE_ENDS, description: str | None = None) -> DataFrame:
+    """Paragraphs of noisy text: junk lines go, lines join into paragraphs, text after a stop mark, junk and repeats go."""
     clean = lines.where(~predicates.is_junk_line(F.col(line)) | (F.trim(line) == ""))
     paragraphs = sequence.assemble(clean, F.trim(line), F.trim(line) == "", by, [order])
-    titled = paragraphs.join(lines.select(*by, title).distinct(), by)
-    low = F.lower("text")
-    stop = F.lit(False)
-    for s in stops:
-        stop = stop | F.contains(low, F.lit(s))
+    known = [title, description] if description else [title]
+    titled = paragraphs.join(lines.select(*by, *known).distinct(), by)
+    stop = predicates.count_hits(F.lower("text"), list(stops)) > 0
     kept = sequence.until_stop(titled, stop, by, ["first_pos"], at_least=3)
-    return kept.where(~predicates.is_junk_paragraph(F.col("text"), F.col(title)))
+    good = kept.where(~predicates.is_junk_paragraph(F.col("text"), F.col(title), F.col(description) if description else None))
+    return dedup.first_wins(good, [*by, F.lower("text")], ["first_pos"])
+
+
+# How siblings of the tabbed layout end the article, and how paragraphs that it loses begin.
+TAB_STOPS = (r"^read our past weekly market commentaries", r"big calls|tactical granular views")
+TAB_SKIPPED = ("Source:", "Sources:", "Past performance", "Read our past")
+
+
+def tabbed_article(siblings: DataFrame, by: list[str], base: str, stops: Sequence[str] = TAB_STOPS, skipped: Sequence[str] = TAB_SKIPPED) -> DataFrame:
+    """by, content_html: the article of a tabbed layout.
+
+    ``siblings``: one row for each element of the blocks beside the tabs: ``by``, block, block_text,
+    component (paragraph, image or another), tabs (how many tabs there are), pos, tag (h2, p, img),
+    text and src.  As many paragraph and image blocks count as there are tabs, up to a stop block.
+    Headings stay always, other texts once; images become absolute.
+    """
+    used = siblings.where(F.col("component").isin("paragraph", "image"))
+    nth = F.dense_rank().over(sequence.window(by, ["block"]))
+    # the rows of a block share its text, so a block that stops is out as a whole, and so is all after it
+    shown = sequence.until_stop(used.withColumn("__nth", nth).where("__nth <= tabs"), F.lower(text.collapse(F.col("block_text"))).rlike("|".join(f"(?:{p})" for p in stops)), by, ["block", "pos"])
+    body, is_image = text.collapse(F.coalesce("text", F.lit(""))), F.col("tag") == "img"
+    src = F.when(F.startswith("src", F.lit("/")), F.concat(F.lit(base), F.col("src"))).otherwise(F.coalesce("src", F.lit("")))
+    loses = F.exists(F.array(*[F.lit(s.lower()) for s in skipped]), lambda s: F.startswith(F.lower(body), s))
+    rows = shown.where((is_image & (src != "")) | (~is_image & (body != "") & ~loses & (F.col("component") == "paragraph")))
+    once = dedup.first_wins_or_forced(rows, F.when(is_image, src).otherwise(F.lower(body)), ["block", "pos"], F.col("tag") == "h2", by)
+    escaped = text.escape_html(body)
+    markup = F.when(is_image, F.concat(F.lit('<p><img src="'), text.escape_html(src), F.lit('" alt="" /></p>'))).when(F.col("tag") == "h2", F.concat(F.lit("<p><strong>"), escaped, F.lit("</strong></p>"))).otherwise(F.concat(F.lit("<p>"), escaped, F.lit("</p>")))
+    made = once.select(*by, F.struct("block", "pos").alias("at"), markup.alias("markup"))
+    return aggregates.ordered_join(made, by, "at", "markup", "").withColumnRenamed("joined", "content_html")
+
+
+# Words that begin the description of a report card, and titles of cards that are sections.
+REPORT_STARTS = "The|Our|This|These|A|An"
+REPORT_SECTIONS = (
+    "Private Market Benchmarks Reports", "Venture Monitor Reports", "Private Equity Reports", "M&A Reports", "Fundraising Reports", "Fund Performance Reports", "Credit Reports",
+    "Private Debt Reports",
+)
+
+
+def report_cards(pages: DataFrame, text_col: str, mark: str = "Research ###", starts: str = REPORT_STARTS, sections: Sequence[str] = REPORT_SECTIONS) -> DataFrame:
+    """Cards of markdown listings, ``[... mark Title The ... date](link)``: url, pos, title, description, date_text and link; undated cards and sections go, links count once."""
+    pattern = F.lit(rf"\[((?:!\[[^\]]*\]\([^)]*\)|[^\[\]])*{mark}[^\[\]]*)\]\((https?://[^)\s]+)\)")
+    found = F.arrays_zip(F.regexp_extract_all(text_col, pattern, F.lit(1)).alias("raw"), F.regexp_extract_all(text_col, pattern, F.lit(2)).alias("link"))
+    rows = pages.select("url", F.posexplode(found).alias("pos", "m")).select("url", "pos", F.col("m.raw").alias("raw"), F.col("m.link").alias("link"))
+    plain = text.collapse(F.regexp_replace(F.regexp_replace(F.regexp_replace("raw", r"!\[[^\]]*\]\([^)]+\)", ""), rf"^\s*{mark}\s+", ""), r"(?s)\s+Learn more.*$", ""))
+    date = text.none_if_empty(F.regexp_extract(plain, r"([A-Z][a-z]+\.? +[0-9]{1,2}, +[0-9]{4})$", 1))
+    head = F.trim(F.regexp_replace(plain, r"([A-Z][a-z]+\.? +[0-9]{1,2}, +[0-9]{4})$", ""))
+    halves = rf"^(.+?) ((?:{starts}) .+)$"
+    title, about = text.first_of(F.regexp_extract(head, halves, 1), head), text.first_of(F.regexp_extract(head, halves, 2), head)
+    cards = rows.select("url", "pos", "link", title.alias("title"), about.alias("description"), date.alias("date_text")).where(F.col("title").isNotNull() & F.col("date_text").isNotNull() & ~F.col("title").isin(list(sections)))
+    return dedup.first_wins(cards, [F.col("url"), F.col("link")], ["pos"])
+
+
+def headline(blocks: DataFrame, by: list[str], least: int = 70) -> DataFrame:
+    """The text of the largest size, the longest of that size; none if it is shorter than ``least``."""
+    best = aggregates.best_candidate(blocks, by, [F.col("size"), F.length("text")], ["text", "size"], "pos")
+    return best.where(F.length("text") >= least)
 
 
 def component_article(blocks: DataFrame, by: list[str]) -> DataFrame:

@@ -1,38 +1,18 @@
 """The engine's registered queries over the driver's tables, each beside its DuckDB SQL.
 
-``registered`` maps a name to (query, SQL or None).  Both sides of a pair state the same
-result independently: the query with the library's operators, the SQL from scratch.
+Both sides of a pair state the same result independently: the query with the library's operators, the SQL from
+scratch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, json, predicates, text, urls
 from ..operators import aggregates, dedup, joins, layout, quality, sequence, topk
-
-Query = Callable[[SparkSession, str], DataFrame]
-registered: dict[str, tuple[Query, str | None]] = {}
-
-
-def query(sql: str | None = None):
-    def register(f: Query) -> Query:
-        registered[f.__name__] = (f, sql)
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def utc(c: str) -> Column:
-    return F.col(c).cast("timestamp")
-
+from . import site_queries  # noqa: F401  (registers its own)
+from .registry import query, registered, table, utc  # noqa: F401
 
 # --- pages: projection, links, URLs
 

@@ -138,6 +138,11 @@ def not_cached(wanted: DataFrame, cache: DataFrame) -> DataFrame:
     return wanted.withColumn("key", cache_key(F.col("url"))).join(cache.select("key"), "key", "left_anti")
 
 
+def save_cache(fetched: DataFrame, path: str) -> None:
+    """Append fetched pages (url and others) to the page cache under their keys."""
+    fetched.withColumn("key", cache_key(F.col("url"))).write.mode("append").parquet(path)
+
+
 def with_aliases(items: DataFrame, stored: DataFrame, aliases: Sequence[Column], key: str, value: str) -> DataFrame:
     """The stored value under the first alias that has one."""
     out, names = items, []

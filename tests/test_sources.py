@@ -208,3 +208,53 @@ def test_layout_article(spark):
     got = extraction.layout_article(boxes, drawings, 100.0, 100.0).orderBy("page", "nth").collect()
     assert [(r["kind"], r["text"]) for r in got][:2] == [("h2", "Heading 0 here"), ("p", "example text 0")]
     assert len(got) == 8
+
+
+def test_builder_runs(spark, tmp_path):
+    from pagestream.operators import quality
+    from pagestream.plans import build
+
+    snap = incremental.Snapshots(spark, str(tmp_path / "s"))
+    listing = spark.createDataFrame([("f", i, f"Title {i}", f"https://x/a{i}", "about", f"2026-04-{10 + i}") for i in range(4)], "feed string, pos int, title string, link string, description string, pub_date_raw string")
+    details = spark.createDataFrame([(f"https://x/a{i}", f"<p>Body {i}</p>") for i in (0, 1, 3)], "link string, content_html string")
+    rules = {"page": F.contains("html", F.lit("<p>Body"))}
+    first = build.run(snap, listing, details, run_ts(), 1, rules, first=3, budget=2)
+    # the three newest are listed, two are built: 3 has an article, 2 has none and waits
+    assert [r["slug"] for r in snap.load().collect()] == ["a3"]
+    second = build.run(snap, listing, details, run_ts(), 1, rules, budget=2)
+    assert second != first
+    held = {r["slug"]: r for r in snap.load().collect()}
+    assert set(held) == {"a1", "a3"}
+    assert "<h1>Title 1</h1>" in held["a1"]["html"]
+    assert held["a1"]["pub_date_raw"] == "Sat, 11 Apr 2026 00:00:00 GMT"
+    build.run(snap, listing, details, run_ts(), 1, rules)
+    last = snap.current()
+    assert {r["slug"] for r in snap.load().collect()} == {"a0", "a1", "a3"}
+    assert build.run(snap, listing, details, run_ts(), 1, rules) == last  # nothing new: the version stays
+    with pytest.raises(quality.QualityError, match="page: f/a3"):
+        build.run(snap, listing, details.withColumn("content_html", F.lit("<p>bad</p>")), run_ts(), 2, rules, budget=1, later=3)
+    assert snap.current() == last
+    build.run(snap, listing.where("pos > 0"), details, run_ts(), 1)  # what the listing lost goes
+    assert {r["slug"] for r in snap.load().collect()} == {"a1", "a3"}
+
+
+def test_headline_cache_and_structure(spark, tmp_path):
+    from pagestream.operators import quality
+
+    blocks = spark.createDataFrame([("a", 0, 12.0, "x" * 90), ("a", 1, 20.0, "y" * 70), ("a", 2, 20.0, "z" * 30), ("b", 0, 30.0, "short")], "doc string, pos int, size double, text string")
+    assert [(r["doc"], r["text"]) for r in extraction.headline(blocks, ["doc"]).collect()] == [("a", "y" * 70)]
+    readers.save_cache(spark.createDataFrame([("u1", "page")], "url string, html string"), str(tmp_path / "cache"))
+    wanted = spark.createDataFrame([("u1",), ("u2",)], "url string")
+    assert [r["url"] for r in readers.not_cached(wanted, spark.read.parquet(str(tmp_path / "cache"))).collect()] == ["u2"]
+    pages = spark.createDataFrame([(1, "<h1>T</h1><p>a<p>b<p class=x>c"), (2, "<h1> </h1><p>a")], "id int, html string")
+    found = quality.violations(pages, F.col("id"), quality.structure_rules(F.col("html")))
+    assert sorted((r["key"], r["rule"]) for r in found.collect()) == [(2, "heading"), (2, "paragraphs")]
+    with pytest.raises(Exception, match="no title"):
+        quality.asserted(pages, F.col("id") < 2, F.lit("no title")).collect()
+
+
+def test_windowed_paragraphs(spark):
+    page = "menu\n\n" + "\n\n".join(["Commentary of the week", "A long enough paragraph about markets and rates.", "short", "Another long enough paragraph about growth.", "STOP here and after it nothing."])
+    pages = spark.createDataFrame([("u", page)], "url string, html string")
+    got = extraction.windowed_paragraphs(pages, "html", F.lit("Commentary"), ["STOP"]).orderBy("pos").collect()
+    assert [r["paragraph"] for r in got] == ["A long enough paragraph about markets and rates.", "Another long enough paragraph about growth."]
