@@ -8,14 +8,16 @@ token; a line that agrees with at least ``AGREE`` percent of the leaf's dominant
 variable.  Any other line is its own template.  Templates found in ``MIN_TEXTS`` or more
 different texts are dropped from all of them.  A line of fewer than ``MIN_TOKENS`` tokens
 has too few for a template besides its own masked line, and short lines recur by chance:
-it is dropped where that line is found in ``SHORT_TEXTS`` or more different texts.  Blank
-lines stay.
+it is dropped where that line is found in ``SHORT_TEXTS`` or more different texts.  A line
+of more than ``LONG_TOKENS`` tokens does not recur by chance: it is also dropped where its
+masked line is found in ``LONG_TEXTS`` or more different texts.  Blank lines stay.
 
 Copies of a document count as one text: they are a matter for document dedup, and their
 lines do not become boilerplate by them.  A line is parsed once; the parsed lines are a
 table in the shared folder whose columns later steps read as they need, removed once the
-lines to drop are known.  Texts are told apart by hash and length.  Distinct texts are counted after partial aggregation, so a line in a third of all texts is a few rows
-for each task.
+lines to drop are known.  Texts are told apart by hash and length.  Distinct texts are
+counted after partial aggregation, so a line in a third of all texts is a few rows for each
+task.
 
 Defined results: a null text stays null, with no lines; an empty text has one empty line,
 which stays; lines are cut at ``\\n`` and tokens at ASCII white space; what is kept is
@@ -35,6 +37,8 @@ AGREE = 60
 MIN_TEXTS = 3
 MIN_TOKENS = 4
 SHORT_TEXTS = 10
+LONG_TOKENS = 50
+LONG_TEXTS = 2
 FIELD = "<*>"
 
 
@@ -73,12 +77,12 @@ def _counted(df: DataFrame, row_bytes: Column) -> DataFrame:
     return small(df, int(df.agg(F.sum(row_bytes + 32)).first()[0] or 0), 1)
 
 
-def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int = SHORT_TEXTS) -> DataFrame:
+def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int = SHORT_TEXTS, long_texts: int = LONG_TEXTS) -> DataFrame:
     """key, bytes, positions: the lines (from 0, sorted) of each text that are to be dropped, as a table."""
     parsed, path = written(parsed_lines(texts, text_col), "lines")
     lines = parsed.where(F.col("size") >= MIN_TOKENS)
-    once = lines.groupBy("leaf", "line", "key", "bytes").agg(F.count(F.lit(1)).alias("n"))
-    distinct = kept(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts")))
+    once = lines.groupBy("leaf", "line", "size", "key", "bytes").agg(F.count(F.lit(1)).alias("n"))
+    distinct = kept(once.groupBy("leaf", "line", "size").agg(F.count(F.lit(1)).alias("texts")))
     general = kept(_generalised(lines, distinct, agree, min_texts))
     n = general.count()
     # a leaf's template is told from a line by its sign bit, kept apart by the second column
@@ -92,19 +96,22 @@ def recurring_lines(texts: DataFrame, text_col: str, agree: int = AGREE, min_tex
     often = short.select("line", "key", "bytes").distinct().groupBy("line").count().where(F.col("count") >= short_texts)
     recurring = kept(recurring.unionAll(often.select("line", F.lit(False))))
     named = template(parsed.where(F.col("masked") != "").select("key", "bytes", "pos", "line"))
-    gone = named.join(small(recurring, recurring.count(), 16), (F.col("template") == F.col("r_template")) & (F.col("general") == F.col("r_general")), "left_semi")
+    gone = named.join(small(recurring, recurring.count(), 16), (F.col("template") == F.col("r_template")) & (F.col("general") == F.col("r_general")), "left_semi").select("key", "bytes", "pos")
+    passages = kept(distinct.where((F.col("size") > LONG_TOKENS) & (F.col("texts") >= long_texts)).select(F.col("line").alias("p_line")))
+    long = parsed.where(F.col("size") > LONG_TOKENS).join(small(passages, passages.count(), 8), F.col("line") == F.col("p_line"), "left_semi")
+    gone = gone.unionAll(long.select("key", "bytes", "pos"))
     found, _ = written(gone.groupBy("key", "bytes").agg(F.sort_array(F.collect_set("pos")).alias("positions")), "gone")
-    unkept(recurring, general, distinct)
+    unkept(passages, recurring, general, distinct)
     dropped(texts.sparkSession, path)
     return found
 
 
-def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int = SHORT_TEXTS) -> DataFrame:
+def dedup_lines(documents: DataFrame, text_col: str = "text", agree: int = AGREE, min_texts: int = MIN_TEXTS, short_texts: int = SHORT_TEXTS, long_texts: int = LONG_TEXTS) -> DataFrame:
     """All columns, the text without its recurring lines, with ``n_lines`` and ``n_dropped``."""
     columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped") or c == text_col]
     own = documents.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)])
     text = f"__c{columns.index(text_col)}"
-    gone = recurring_lines(own.select(text), text, agree, min_texts, short_texts).withColumnsRenamed({"key": "__key", "bytes": "__bytes", "positions": "__gone"})
+    gone = recurring_lines(own.select(text), text, agree, min_texts, short_texts, long_texts).withColumnsRenamed({"key": "__key", "bytes": "__bytes", "positions": "__gone"})
     same = (F.xxhash64(text) == F.col("__key")) & (F.octet_length(text) == F.col("__bytes"))
     joined = own.join(_counted(gone, 4 * F.size("__gone")), same, "left")
     lines = F.split(F.col(text), "\n")
@@ -135,7 +142,9 @@ recurring as (select general, size, lead, own from templated group by all having
 gone as (select t.text, t.pos from templated t join recurring r on t.general = r.general and t.size = r.size and t.lead = r.lead and t.own is not distinct from r.own),
 short as (select text, pos, ts from tokens where len(ts) < {MIN_TOKENS} and ts <> ['']),
 often as (select ts from short group by ts having count(distinct text) >= {SHORT_TEXTS}),
-gone_too as (select text, pos from gone union all select s.text, s.pos from short s join often using (ts)),
+passages as (select ts from uniq where size > {LONG_TOKENS} and texts >= {LONG_TEXTS}),
+gone_too as (select text, pos from gone union all select s.text, s.pos from short s join often using (ts)
+  union select l.text, l.pos from lines l join passages using (ts)),
 left_over as (select r.text, coalesce(string_agg(case when g.pos is null then r.l end, chr(10) order by r.pos), '') as kept, count(g.pos) as n_dropped, count(*) as n_lines
   from raw r left join gone_too g on r.text = g.text and r.pos = g.pos group by r.text)
 select d.doc_id, k.kept as text, coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_dropped, 0) as n_dropped from documents d left join left_over k on d.text = k.text

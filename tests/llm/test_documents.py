@@ -302,6 +302,18 @@ def test_short_lines_recur(spark):
     assert got[0]["text"].endswith("rare")
 
 
+def test_long_passages_recur_in_two_texts(spark):
+    passage, other = " ".join(f"word{'abcdefgh'[i % 8]}{'q' * i}" for i in range(51)), " ".join(f"term{'q' * i}" for i in range(50))
+    docs = [(1, f"own words {'x' * 5} of one\n{passage}"), (2, f"{passage}\nother words {'y' * 5} of two"), (3, f"{other}\nthree is alone"), (4, f"{other}\nfour stays too"), (5, f"own words {'x' * 5} of one\n{passage}")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}
+    assert got[1] == got[5] == f"own words {'x' * 5} of one" and got[2] == f"other words {'y' * 5} of two"  # 51 words in two texts go
+    assert got[3].startswith(other) and got[4].startswith(other)  # 50 words need MIN_TEXTS
+    assert all("wordaq" not in r["text"] or r["n_dropped"] == 0 for r in linededup.dedup_lines(docs, long_texts=3).collect())
+    copies = docs.where("doc_id in (1, 5)")
+    assert all(r["n_dropped"] == 0 for r in linededup.dedup_lines(copies).collect())  # copies are one text
+
+
 def test_language_held_out(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     held = langid.held_out(F.col("doc_id"), 4, 2)
