@@ -97,3 +97,54 @@ def test_language_stage_decides(spark, sf):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).where(F.col("slot") == 0).count() == 8
+
+
+CLASHES = ("shard", "slot", "taken", "size", "cls", "root", "lang_pred", "score", "hit_spans", "key", "bucket")
+
+
+def _tables(spark, folder, rows, bench):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(bench, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_stages_on_awkward_rows(spark, sf, tmp_path):
+    usual = spark.read.parquet(f"{sf}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    texts = [r["text"] for r in usual.where("lang = 'en' and length(text) > 300").orderBy("doc_id").limit(4).collect()]
+    back = [" ".join(reversed(t.split())) for t in texts]
+    rows = [
+        (-1, None, None, None, None), (-2, "", "en", "s", 0), (-3, " \n\t", "en", None, 3), (-5, back[0], "en", "s", 50), (-5, back[0], "en", "s", 50), (-6, back[0], None, "t", 50),
+        (None, back[1], "en", "s", 1), (-7, back[2], "en", "t", 9), (-8, (texts[3] + " ") * 400, None, None, None), (-9, "!!! ### 123", "de", None, 5),
+    ]
+    folder = _tables(spark, tmp_path, rows, [("a", back[2]), ("b", None), (None, ""), ("c", "not in any text")])
+    docs = spark.read.parquet(f"{folder}/documents.parquet").unionByName(usual)
+    for name in CLASHES:
+        docs = docs.withColumn(name, F.lit("clash"))
+    awkward = lambda df: sorted((r["doc_id"] for r in df.where("doc_id < 0 or doc_id is null").collect()), key=str)
+    expected = {"language": [-5, -5, -6, -7, -8, None], "near_duplicates": [-6, -7, -8, None], "decontaminate": [-6, -8, None]}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name in expected:  # no letter, then copies, then the benchmark's text go; a null id stays
+            assert awkward(docs) == sorted(expected[name], key=str)
+        elif name == "mix":
+            mixed = docs.count()
+            assert set(awkward(docs)) <= {-6, -8, None}
+    got = docs.collect()
+    assert len(got) == mixed and set(docs.columns) == {*corpus_pipeline.COLUMNS, "shard", "slot"}
+    assert all(len(r["text"]) == 400 * (len(texts[3]) + 1) for r in got if r["doc_id"] == -8)
+    for k in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == k) == list(range(sum(r["shard"] == k for r in got)))
+
+
+@pytest.mark.parametrize("rows, bench", [([], [("a", "some words")]), ([], []), ([(1, None, None, None, None), (None, None, "en", "s", 0)], [])])
+def test_run_on_nothing(spark, tmp_path, rows, bench):
+    assert corpus_pipeline.run(spark, _tables(spark, tmp_path, rows, bench)).count() == 0
+
+
+def test_run_without_a_benchmark(spark, tmp_path):
+    rows = [(i, f"text number {i} of a few words that differ {'q' * i} from one another", "en", "s", 9) for i in range(12)]
+    got = corpus_pipeline.run(spark, _tables(spark, tmp_path, rows, [])).collect()
+    assert {r["doc_id"] for r in got} == set(range(12))
