@@ -272,3 +272,44 @@ def builder_run(spark, sf_dir):
     )
     out = build.planned(listing, details, stored, F.lit("2026-05-01").cast("timestamp"), version, later=20)
     return out.select("key", "action", "deferred", F.contains("html", F.concat(F.lit("<h1>"), "title", F.lit("</h1>"))).alias("rebuilt"), F.date_format(dates.parse_rfc822(F.col("pub_date_raw")), "yyyy-MM-dd").alias("day"))
+
+
+# --- listings, guards and lookups
+
+
+@query("""with p as (select page_id::varchar as k from pages) select concat('u', k) as url, 0 as pos, concat('Page ', k) as title, concat('https://x.example/p/', k) as link from p
+union all select concat('u', k), 1, concat('Some Page ', k), concat('https://x.example/p/some-page-', k) from p""")
+def markdown_listing_links(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("k"))
+    listing = F.concat(F.lit("* [Page "), "k", F.lit("](https://x.example/p/"), "k", F.lit(") and [](https://x.example/p/some-page-"), "k", F.lit(")\n* [Again](https://x.example/p/"), "k", F.lit(") [not a link](/p)"))
+    return extraction.markdown_links(pages.select(F.concat(F.lit("u"), "k").alias("url"), listing.alias("markdown")), "markdown").select("url", "pos", "title", "link")
+
+
+@query("""select page_id, length(trim(repeat(' words', (page_id % 20)::int))) < 50 as empty_shell, concat('part', page_id % 6) in ('part1', 'part4') as excluded from pages""")
+def page_guards(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    title = F.concat(F.lit("Title "), F.col("page_id").cast("string"))
+    body = F.concat(title, F.expr("repeat(' words', cast(page_id % 20 as int))"))
+    slug = urls.last_segment(F.concat(F.lit("https://x.example/a/part"), (F.col("page_id") % 6).cast("string")))
+    return pages.select("page_id", predicates.is_empty_shell(body, title).alias("empty_shell"), predicates.excluded_slug(slug, ["part1", "part4"]).alias("excluded"))
+
+
+@query("""select o_orderkey, o_custkey, c_name as old_c_name, c_nationkey as old_c_nationkey from orders left join customer on o_custkey = c_custkey * 2""")
+def lookup_by_key(spark, sf_dir):
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    stored = customer.withColumn("o_custkey", F.col("c_custkey") * 2)
+    return joins.lookup(orders.select("o_orderkey", "o_custkey"), stored, "o_custkey", ["c_name", "c_nationkey"])
+
+
+@query("""with o as (select o_custkey as doc, o_orderkey % 3 as page, case when o_orderkey % 2 = 0 then 'left' else 'right' end as col, o_orderkey::double as y0, o_orderstatus from orders)
+select c.doc, c.page, c.col, c.y0, coalesce(min(case when b.y0 > c.y0 then b.y0 end), 1e9) as until from o c left join o b on c.doc = b.doc and c.page = b.page and c.col = b.col and b.o_orderstatus = 'F' group by all""")
+def caption_regions(spark, sf_dir):
+    key = F.col("o_orderkey")
+    # a box on the left, or on the right, of a page of width 100
+    boxes = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("doc"), (key % 3).alias("page"), key.cast("double").alias("y0"), "o_orderstatus",
+        F.when(key % 2 == 0, 10.0).otherwise(60.0).alias("x0"), F.when(key % 2 == 0, 40.0).otherwise(90.0).alias("x1"),
+    )
+    boxes = boxes.withColumn("col", layout.column_of(F.lit(100.0)))
+    bounds = boxes.where("o_orderstatus = 'F'").select("doc", "page", "col", "y0")
+    return layout.caption_regions(boxes.select("doc", "page", "col", "y0"), bounds, 1e9)

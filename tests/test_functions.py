@@ -166,3 +166,10 @@ def test_links(spark):
     assert one(spark, urls.is_localized(F.lit("https://b/item/f/s/"), "https://b", F.lit("f"))) is True
     assert one(spark, urls.is_localized(F.lit("https://x/item/f/s/"), "https://b", F.lit("f"))) is False
     assert one(spark, urls.asset_refs(F.lit('<img src="a.png"><a href="https://x"><img src="a.png"><i data="b.svg">'))) == ["a.png", "b.svg"]
+
+
+def test_json_checks(spark):
+    rows = spark.createDataFrame([('{"a": {"b": 1}}',), ("{a",), (None,), ("[1, 2]",)], "j string")
+    assert [r[0] for r in rows.select(html.valid_json(F.col("j"))).collect()] == [True, False, False, True]
+    doc = F.try_parse_json("j")
+    assert [r[0] for r in rows.select(json.variant_path(doc, "$.a.b", "int")).collect()] == [1, None, None, None]

@@ -258,3 +258,27 @@ def test_windowed_paragraphs(spark):
     pages = spark.createDataFrame([("u", page)], "url string, html string")
     got = extraction.windowed_paragraphs(pages, "html", F.lit("Commentary"), ["STOP"]).orderBy("pos").collect()
     assert [r["paragraph"] for r in got] == ["A long enough paragraph about markets and rates.", "Another long enough paragraph about growth."]
+
+
+def test_binaries_mirror_and_logs(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    (folder / "a.pdf").write_bytes(b"%PDF" + b"x" * 1200)
+    (folder / "short.pdf").write_bytes(b"%PDF")
+    (folder / "other.pdf").write_bytes(b"<html>" + b"x" * 1200)
+    found = readers.read_binaries(spark, str(folder), b"%PDF", 1000)
+    assert [r["path"].rsplit("/", 1)[-1] for r in found.collect()] == ["a.pdf"]
+    sinks.mirror(found, str(tmp_path / "mirror"))
+    copy = spark.read.parquet(str(tmp_path / "mirror")).collect()
+    assert [bytes(r["content"]) for r in copy] == [(folder / "a.pdf").read_bytes()]  # unchanged
+    for status in ("SUCCESS", "FAILED"):
+        sinks.log_run(spark.createDataFrame([("f", status)], "feed string, status string"), str(tmp_path / "log"))
+    assert sorted(r["status"] for r in spark.read.parquet(str(tmp_path / "log")).collect()) == ["FAILED", "SUCCESS"]
+
+
+def test_written_pages_come_back(spark, tmp_path):
+    pages = spark.createDataFrame([("f", "a", "<p>1</p>"), ("g", "a", "<p>2</p>"), ("f", "b", None)], "feed string, slug string, html string")
+    sinks.write_pages(pages, str(tmp_path / "pages"))
+    back = spark.read.parquet(str(tmp_path / "pages"))
+    assert sorted((r["feed"], r["slug"], r["html"] or "") for r in back.collect()) == [("f", "a", "<p>1</p>"), ("f", "b", ""), ("g", "a", "<p>2</p>")]
+    assert [r["html"] for r in back.where("feed = 'g'").collect()] == ["<p>2</p>"]
