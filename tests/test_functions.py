@@ -173,3 +173,21 @@ def test_json_checks(spark):
     assert [r[0] for r in rows.select(html.valid_json(F.col("j"))).collect()] == [True, False, False, True]
     doc = F.try_parse_json("j")
     assert [r[0] for r in rows.select(json.variant_path(doc, "$.a.b", "int")).collect()] == [1, None, None, None]
+
+
+def test_batches_are_python_objects_in_pieces():
+    import pyarrow as pa
+
+    texts = [None, "", "a" * (html.PIECE_BYTES // 2), "b" * (html.PIECE_BYTES // 3), "c" * (3 * html.PIECE_BYTES), None, "d"]
+    pieces = list(html._pieces([pa.array(texts, pa.string()), pa.array(range(7))]))
+    assert [x for piece, _ in pieces for x in piece] == texts and [n for _, at in pieces for n in at] == list(range(7))
+    assert [at for _, at in pieces] == [[0, 1, 2, 3], [4], [5, 6]]
+    assert list(html._pieces([pa.array([], pa.string())])) == []
+
+
+def test_tokens_of_a_batch_of_many_pieces(spark):
+    pages = [(n, None if n % 7 == 3 else "" if n % 7 == 5 else f"<div><p>{n}</p></div>" + " " * (html.PIECE_BYTES // 5)) for n in range(40)]
+    df = spark.createDataFrame(pages, "n int, page string").coalesce(1).withColumn("e", html.html_tokens(F.col("page")))
+    got = {r["n"]: r["e"] and [(e["path"], e["text"]) for e in r["e"]] for r in df.drop("page").collect()}
+    assert got == {n: page if page is None else [("/0", ""), ("/0/1", str(n))] if page else [] for n, page in pages}
+    assert df.where("n < 0").collect() == []
