@@ -14,8 +14,10 @@ class QualityError(ValueError):
 
 def violations(df: DataFrame, key: Column, rules: Mapping[str, Column]) -> DataFrame:
     """(key, rule) of each broken rule; one pass, whatever the number of rules."""
-    broken = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()])
-    return df.select(key.alias("key"), F.explode(F.filter(broken, lambda x: x.isNotNull())).alias("rule"))
+    # a projection of their own: compiled, and what several rules read is computed once
+    held = df.select(key.alias("key"), *[F.coalesce(ok, F.lit(False)).alias(f"__{i}") for i, ok in enumerate(rules.values())])
+    broken = F.array(*[F.when(~F.col(f"__{i}"), F.lit(name)) for i, name in enumerate(rules)])
+    return held.select("key", F.explode(F.filter(broken, lambda x: x.isNotNull())).alias("rule"))
 
 
 def require_none(found: DataFrame, show: int = 5) -> None:
@@ -53,6 +55,15 @@ def page_rules(text: Column, markers: tuple[str, ...], min_chars: int = 500, lea
     return {"length": F.length(text) >= min_chars, "markers": hits >= least}
 
 
+def has_title(html: Column) -> Column:
+    """``<h1[^>]*>.*[^ ].*</h1>`` in any case and over lines: from the first h1 to the last end tag there is more than spaces. Scans only, so a page costs its length."""
+    low = F.lower(html)
+    begun = F.substr(low, F.length(F.substring_index(low, "<h1", 1)) + 4)
+    rest = F.when(F.contains(begun, F.lit(">")), F.substr(begun, F.instr(begun, ">") + 1)).otherwise("")
+    held = F.length(rest) - F.length(F.substring_index(rest, "</h1>", -1)) - 5
+    return F.when(html.isNotNull(), F.trim(F.substr(rest, F.lit(1), held)) != "")
+
+
 def structure_rules(html: Column, paragraphs: int = 3, marker: str = "") -> dict[str, Column]:
     """Rules of an article's markup: a title, so many paragraphs, a marker."""
-    return {"heading": html.rlike("(?is)<h1[^>]*>.*[^ ].*</h1>"), "paragraphs": F.regexp_count(html, F.lit("(?i)<p[ >]")) >= paragraphs, "marker": F.contains(html, F.lit(marker))}
+    return {"heading": has_title(html), "paragraphs": F.regexp_count(html, F.lit("(?i)<p[ >]")) >= paragraphs, "marker": F.contains(html, F.lit(marker))}

@@ -1,5 +1,8 @@
 """Operators on literal rows, and invariants."""
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +126,24 @@ def test_quality_gate(spark):
     quality.require_none(found.where("false"))
 
 
+def test_title_rule_is_the_pattern(spark):
+    pieces = ["<h1>", "<H1 a='b'>", "</h1>", "</H1>", " ", "  ", "\n", "a", "<h1", ">", "<p>", "\u0130", "\U0001f600"]
+    draw = random.Random(1)
+    pages = ["".join(draw.choices(pieces, k=draw.randint(0, 9))) for _ in range(3000)] + ["<h1></h1>x</h1>", "<h1 </h1>", "</h1>a<h1>", None]
+    df = spark.createDataFrame([(p,) for p in pages], "page string")
+    got = df.select(quality.has_title(F.col("page")).alias("a"), F.col("page").rlike("(?is)<h1[^>]*>.*[^ ].*</h1>").alias("b"), "page").collect()
+    assert [r for r in got if r["a"] != r["b"]] == [] and {r["b"] for r in got} == {True, False, None}
+
+
+@pytest.mark.parametrize("page", ["<h1>T</h1>" + "word " * 200_000, "<h1>a" * 200_000, "<h1 " * 200_000, "<h1>" + " " * 1_000_000])
+def test_title_rule_takes_a_pages_length(spark, page):
+    rules = quality.structure_rules(F.col("page"))
+    df = spark.createDataFrame([("k", page)], "k string, page string")
+    began = time.monotonic()
+    assert ("heading" in {r["rule"] for r in quality.violations(df, F.col("k"), rules).collect()}) != page.startswith("<h1>T")
+    assert time.monotonic() - began < 30
+
+
 def test_counters(spark):
     df, seen = aggregates.counted(spark.range(10), "run", even=F.count_if(F.col("id") % 2 == 0))
     df.collect()
