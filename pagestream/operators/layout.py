@@ -27,15 +27,33 @@ def with_page_kind(boxes: DataFrame, width: float) -> DataFrame:
     """Adds ``two_column``: at least four narrow boxes, of which a quarter at most cross the middle."""
     narrow = (F.col("x1") - F.col("x0")) < 0.6 * width
     crosses = narrow & (F.col("x0") < width / 2) & (F.col("x1") > width / 2)
-    w = Window.partitionBy(*PAGE)
+    # ordered as reading_order needs it next, so one sort serves both
+    w = Window.partitionBy(*PAGE).orderBy("y0").rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     n, c = F.sum(narrow.cast("int")).over(w), F.sum(crosses.cast("int")).over(w)
     return boxes.withColumn("two_column", (n >= 4) & (c <= 0.25 * n))
 
 
+#: Bytes, as stored, of the tables that are read for each partition of boxes.
+PART_BYTES = 8 << 20
+
+
+def by_page(boxes: DataFrame) -> DataFrame:
+    """Boxes dealt out by page. Partitions follow the size of the tables read, so what a task sorts stays the same; where Spark knows no size, it chooses."""
+    seq = lambda x: [x.apply(i) for i in range(x.size())]
+    plan = boxes.select(*PAGE)._jdf.queryExecution().optimizedPlan()
+    stored = sum(int(str(leaf.stats().sizeInBytes())) for leaf in seq(plan.collectLeaves()))
+    if stored >= 1 << 50:
+        return boxes
+    # Spark takes a constant out of a window's keys; dealt out by it, rows would be shuffled again
+    named = seq(plan.projectList()) if plan.nodeName() == "Project" else []
+    constant = {e.name() for e in named if any(c.foldable() for c in seq(e.children()))}
+    return boxes.repartition(max(boxes.sparkSession.sparkContext.defaultParallelism, -(-stored // PART_BYTES)), *([c for c in PAGE if c not in constant] or PAGE))
+
+
 def reading_order(boxes: DataFrame, width: float, ties: list[str] | None = None) -> DataFrame:
     """``nth`` of each box: bands between full-width boxes, then columns, then downwards."""
     kind = column_of(F.lit(width))
-    marked = with_page_kind(boxes, width).withColumn("col", F.when(F.col("two_column"), kind).otherwise("full"))
+    marked = with_page_kind(by_page(boxes), width).withColumn("col", F.when(F.col("two_column"), kind).otherwise("full"))
     divider = F.col("two_column") & (F.col("col") == "full")
     w = Window.partitionBy(*PAGE).orderBy("y0").rangeBetween(Window.unboundedPreceding, 1)
     banded = marked.withColumn("band", F.sum(divider.cast("int")).over(w))

@@ -110,6 +110,21 @@ def test_two_column_reading_order(spark):
     assert [r["text"] for r in got] == ["a", "c", "b", "d", "full", "e", "f"]
 
 
+@pytest.mark.parametrize("page", ["1", "id % 3"])
+def test_partitions_of_reading_order_follow_the_size_read(spark, tmp_path, monkeypatch, page):
+    n = F.col("id").cast("double")
+    spark.range(4000).select((F.col("id") % 500).cast("string").alias("doc"), "id", n.alias("x0"), n.alias("y0"), (n + 9).alias("x1"), (n + 9).alias("y1")).write.parquet(str(tmp_path / "b"))
+    boxes = spark.read.parquet(str(tmp_path / "b")).withColumn("page", F.expr(page))
+    stored = sum(p.stat().st_size for p in (tmp_path / "b").glob("*.parquet"))
+    usual = {tuple(r) for r in layout.reading_order(boxes, 50.0, ["id"]).select("id", "nth").collect()}
+    monkeypatch.setattr(layout, "PART_BYTES", stored // 20)
+    ordered = layout.reading_order(boxes, 50.0, ["id"])
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange hashpartitioning"), plan.count("Sort [")) == (1, 2)
+    assert 20 <= ordered.rdd.getNumPartitions() <= 22
+    assert {tuple(r) for r in ordered.select("id", "nth").collect()} == usual and len(usual) == 4000
+
+
 def test_undated_first_or_last(spark):
     df = spark.createDataFrame([(1, "2026-01-02"), (2, None), (3, "2026-01-05")], "pos int, d string").withColumn("ts", F.try_to_timestamp("d"))
     last = [r["pos"] for r in df.orderBy(topk.newest_first(F.col("ts"), "last"), "pos").collect()]
