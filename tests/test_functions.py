@@ -191,3 +191,14 @@ def test_tokens_of_a_batch_of_many_pieces(spark):
     got = {r["n"]: r["e"] and [(e["path"], e["text"]) for e in r["e"]] for r in df.drop("page").collect()}
     assert got == {n: page if page is None else [("/0", ""), ("/0/1", str(n))] if page else [] for n, page in pages}
     assert df.where("n < 0").collect() == []
+
+
+def test_mapped_functions_share_a_worker(spark):
+    pages = [(n, None if n % 7 == 3 else f"<p>{n} &amp;amp; <a href='/x'>l</a></p>" + "x" * (html.PIECE_BYTES // 5)) for n in range(40)]
+    df = spark.createDataFrame(pages, "n int, page string").coalesce(1)
+    page = F.col("page")
+    made = df.select("n", html.whitelist_html(page, F.lit("https://a.b/")).alias("clean"), html.html_unescape(page).alias("plain"), html.absolute_url(F.lit(None).cast("string"), page).isNull().alias("gone"))
+    assert made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("ArrowEvalPython [") == 1
+    got = {r["n"]: (r["clean"], r["plain"], r["gone"]) for r in made.collect()}
+    assert got == {n: (None, None, True) if p is None else (html.whitelisted(p, "https://a.b/"), p.replace("&amp;amp;", "&amp;"), False) for n, p in pages}
+    assert made.where("n < 0").count() == 0
